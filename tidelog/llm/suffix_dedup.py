@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from .common import text_bytes
 
 WIDTH, GRAM = 50, 16
-BLOCK_BYTES, RUN_BYTES, TILE = 16 << 20, 2 << 20, 1 << 20
+BLOCK_BYTES, RUN_BYTES, TILE = 8 << 20, 1 << 20, 1 << 19
 SHARDS_A_BLOCK = 3
 FREQUENT = 20_000
 LAST = np.iinfo(np.int64).max
@@ -65,7 +65,7 @@ def window_anchors(data: np.ndarray, valid: np.ndarray) -> tuple[np.ndarray, np.
         hashes = gram_hashes(data[at : at + len(ok) + WIDTH - 1])
         if not len(hashes):
             continue
-        key = (hashes >> np.uint64(22) << np.uint64(22)) | np.arange(len(hashes), dtype=np.uint64)
+        key = (hashes & ~np.uint64((1 << 22) - 1)) | np.arange(len(hashes), dtype=np.uint64)
         size = 1
         while 2 * size <= grams:
             key = np.minimum(key[: len(key) - size], key[size:])
@@ -78,7 +78,7 @@ def window_anchors(data: np.ndarray, valid: np.ndarray) -> tuple[np.ndarray, np.
         place = (key[starts] & np.uint64((1 << 22) - 1)).astype(np.int64)
         cut = np.flatnonzero(np.concatenate([[True], (place[1:] != place[:-1]) | (starts[1:] != starts[:-1] + 1)]))
         ends = np.append(cut[1:], len(starts)) - 1
-        found.append((starts[cut] + at, starts[ends] + at, place[cut] + at, hashes[place[cut]]))
+        found.append((starts[cut] + at, starts[ends] + at, place[cut] + at, mixed(hashes[place[cut]])))  # smallest hashes are low; mixed again they spread
     if not found:
         none = np.empty(0, np.int64)
         return none, none, none, np.empty(0, np.uint64)
@@ -134,6 +134,11 @@ def unpacked(data: bytes) -> np.ndarray:
     return np.cumsum(np.concatenate([np.frombuffer(data, "<u8", 1, 1), np.frombuffer(data, "<u4", offset=9).astype(np.uint64)]), dtype=np.uint64)
 
 
+def ragged(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """start, start + 1, ... of each start, as many as its count, end to end."""
+    return np.repeat(starts - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
+
+
 def pieces(sorted_shards: np.ndarray) -> list[tuple[int, int, int]]:
     """(shard, first, past the last) of a sorted array of shards."""
     cut = np.flatnonzero(np.concatenate([[True], sorted_shards[1:] != sorted_shards[:-1]])) if len(sorted_shards) else np.empty(0, np.int64)
@@ -230,8 +235,8 @@ def run_windows(data: np.ndarray, starts: np.ndarray, owners: np.ndarray) -> tup
     return bytes_[members[first]], least, place[starts]
 
 
-def smallest_owner(stretches: list[bytes], owners: np.ndarray) -> list[np.ndarray]:
-    """For each stretch, the smallest id of each of its windows over all stretches."""
+def smallest_owner(stretches: list[bytes], owners: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each window of each stretch the smallest id that has it in some stretch, end to end; and the stretches' counts of windows."""
     runs, at, size = [], 0, 0
     for i, s in enumerate(stretches):
         size += len(s)
@@ -243,7 +248,7 @@ def smallest_owner(stretches: list[bytes], owners: np.ndarray) -> list[np.ndarra
         lengths = np.array([len(s) for s in stretches[a:b]], np.int64)
         counts = lengths - WIDTH + 1
         base = np.cumsum(lengths) - lengths
-        starts = np.repeat(base, counts) + np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+        starts = ragged(base, counts)
         keys, least, place = run_windows(np.frombuffer(b"".join(stretches[a:b]), np.uint8), starts, np.repeat(owners[a:b], counts))
         parts.append((keys, place, counts))
         if merged_keys is None:
@@ -256,11 +261,8 @@ def smallest_owner(stretches: list[bytes], owners: np.ndarray) -> list[np.ndarra
             merged_ids[at[known]] = np.minimum(merged_ids[at[known]], least[known])
             merged_keys = np.insert(merged_keys, at[~known], keys[~known])
             merged_ids = np.insert(merged_ids, at[~known], least[~known])
-    out = []
-    for keys, place, counts in parts:
-        ids = merged_ids[np.searchsorted(merged_keys, keys)][place] if len(parts) > 1 else merged_ids[place]
-        out += np.split(ids, np.cumsum(counts)[:-1])
-    return out
+    ids = [merged_ids[np.searchsorted(merged_keys, keys)][place] if len(parts) > 1 else merged_ids[place] for keys, place, _ in parts]
+    return np.concatenate(ids), np.concatenate([c for _, _, c in parts])
 
 
 # --- the steps ---------------------------------------------------------------------------------------------------------
@@ -333,7 +335,7 @@ def _stretches(block: Block, replies: pa.Table, shards: int) -> tuple[list[tuple
     first, last, shard = block.first[plain], block.last[plain], shard_of(block.hash[plain] >> np.uint64(16), shards)
     if len(often):
         counts = block.last[often] - block.first[often] + 1
-        single = np.repeat(block.first[often], counts) + np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+        single = ragged(block.first[often], counts)
         eight = [words_at(block.data[single[:, None] + np.arange(at, at + 8)].ravel())[::8] for at in (0, 8, 16, 24, 32, 40, 42)]
         h = np.zeros(len(single), np.uint64)
         for word in eight:
@@ -375,22 +377,26 @@ def _answer_stretches(table: pa.Table) -> pa.Table:
         owners.append(np.frombuffer(least, "<i8"))
     least = np.full(len(known), LAST, np.int64)
     np.minimum.at(least, np.concatenate(places), np.concatenate(owners))
-    answers = []
-    for ids in smallest_owner(list(known), least):  # as runs of equal ids
-        cut = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
-        answers.append(bytes([len(cut)]) + np.diff(np.append(cut, len(ids))).astype("u1").tobytes() + ids[cut].astype("<i8").tobytes())
-    rows = [(block, 1, shard, b"".join(map(answers.__getitem__, place.tolist()))) for block, shard, place in zip(table.column("block").to_pylist(), table.column("shard").to_pylist(), places, strict=True)]
+    ids, counts = smallest_owner(list(known), least)
+    # Runs of equal ids within a stretch: how many, their lengths, their ids.
+    ends = np.cumsum(counts)
+    new = np.concatenate([[True], ids[1:] != ids[:-1]])
+    new[ends - counts] = True
+    cut = np.flatnonzero(new)
+    length, owner = np.diff(np.append(cut, len(ids))).astype("u1"), ids[cut].astype("<i8")
+    first = np.searchsorted(cut, ends - counts)
+    many = np.diff(np.append(first, len(cut)))
+    rows = []
+    for block, shard, place in zip(table.column("block").to_pylist(), table.column("shard").to_pylist(), places, strict=True):
+        at = ragged(first[place], many[place])
+        rows.append((block, 1, shard, many[place].astype("u1").tobytes() + length[at].tobytes() + owner[at].tobytes()))
     return _rows([("block", pa.int64()), ("kind", pa.int32()), ("shard", pa.int64()), ("payload", pa.binary())], rows)
 
 
-def _read_answers(payload: bytes, count: int) -> list[np.ndarray]:
-    out, at = [], 0
-    for _ in range(count):
-        n = payload[at]
-        lengths = np.frombuffer(payload, "u1", n, at + 1)
-        out.append(np.repeat(np.frombuffer(payload, "<i8", n, at + 1 + n), lengths))
-        at += 1 + 9 * n
-    return out
+def _read_answers(payload: bytes, count: int) -> np.ndarray:
+    """The smallest ids of all windows of ``count`` stretches, end to end."""
+    runs = int(np.frombuffer(payload, "u1", count).sum(dtype=np.int64))
+    return np.repeat(np.frombuffer(payload, "<i8", runs, count + runs), np.frombuffer(payload, "u1", runs, count))
 
 
 def _cut(shards: int, id_type: pa.DataType):
@@ -408,14 +414,14 @@ def _cut(shards: int, id_type: pa.DataType):
             doc = np.searchsorted(block.offsets, first, "right") - 1
             for i, (shard, texts, _) in enumerate(found):
                 ids = _read_answers(answers[shard], len(texts))
+                sizes = np.array([len(t) for t in texts], np.int64) - WIDTH + 1
                 a, b = np.searchsorted(where, [i, i + 1])
                 counts = last[a:b] - first[a:b] + 1
-                least = np.concatenate([ids[p] for p in place[a:b].tolist()])
-                starts = np.repeat(first[a:b], counts) + np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+                least, starts = ids[ragged((np.cumsum(sizes) - sizes)[place[a:b]], counts)], ragged(first[a:b], counts)
                 gone = starts[least < np.repeat(block.ids[doc[a:b]], counts)]
                 np.add.at(edge, gone, 1)
                 np.add.at(edge, gone + WIDTH, -1)
-        covered = np.cumsum(edge[:-1]) > 0
+        covered = np.cumsum(edge[:-1], dtype=np.int32) > 0
         rows = []
         for i, (a, b) in enumerate(zip(block.offsets[:-1].tolist(), block.offsets[1:].tolist(), strict=True)):
             mine, data = covered[a:b], block.data[a:b]
