@@ -1,4 +1,485 @@
 """The registered queries of the changelog engine and their DuckDB SQL."""
 
-QUERIES: dict = {}
+from __future__ import annotations
+
+import tempfile
+import uuid
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tidelog.functions import kinds
+from tidelog.functions.kinds import KIND, SEQ
+from tidelog.operators import capture, merge, policy
+from tidelog.sources.table import Catalog, Table
+from tidelog.streaming import ingest
+
+from .fixtures import EVENTS, LINES, ORDERS, events_cdc, lineitem_upsert, live_sql, orders_cdc, table
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return add
+
+
+_ROOTS: dict[int, str] = {}
+
+
+def warehouse(spark: SparkSession) -> Catalog:
+    """A warehouse below the cluster's shared folder; a temporary one where none is set."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or _ROOTS.setdefault(0, tempfile.mkdtemp(prefix="tidelog-"))
+    return Catalog(spark, f"{root.rstrip('/')}/warehouse-{uuid.uuid4().hex}")
+
+
+def _business(df: DataFrame) -> T.StructType:
+    return T.StructType([f for f in df.schema.fields if f.name not in (KIND, SEQ)])
+
+
+# --- merge and aggregates ----------------------------------------------------------------------------------------------
+
+
+@query(f"WITH {ORDERS}, {live_sql('orders_cdc', 'o_orderkey')} SELECT o_orderstatus, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM live GROUP BY o_orderstatus")
+def m01_live_by_status(spark, sf_dir):
+    return merge.live(orders_cdc(spark, sf_dir), ["o_orderkey"]).groupBy("o_orderstatus").agg(F.count("*").alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total"))
+
+
+@query(f"WITH {ORDERS}, {live_sql('orders_cdc', 'o_orderkey')} SELECT * EXCLUDE (rn_) FROM live")
+def m01_live_orders(spark, sf_dir):
+    return merge.live(orders_cdc(spark, sf_dir), ["o_orderkey"])
+
+
+@query(f"WITH {LINES}, {live_sql('lineitem_upsert', 'l_orderkey, l_linenumber')} SELECT * EXCLUDE (rn_) FROM live")
+def m01_live_lineitem(spark, sf_dir):
+    return merge.live(lineitem_upsert(spark, sf_dir), ["l_orderkey", "l_linenumber"])
+
+
+@query(f"WITH {EVENTS}, {live_sql('events_cdc', 'user_id')} SELECT * EXCLUDE (rn_) FROM live")
+def m01_live_events(spark, sf_dir):
+    return merge.live(events_cdc(spark, sf_dir), ["user_id"])
+
+
+@query(f"WITH {EVENTS}, {live_sql('events_cdc', 'user_id')} SELECT * EXCLUDE (rn_) FROM live")
+def m02_live_by_aggregate(spark, sf_dir):
+    return merge.live_by_struct(events_cdc(spark, sf_dir), ["user_id"]).select(*table(spark, sf_dir, "events").columns)
+
+
+@query("SELECT * FROM events")
+def m03_append_only(spark, sf_dir):
+    return merge.live(events_cdc(spark, sf_dir), [])
+
+
+@query(f"WITH {ORDERS} SELECT count(*) AS n FROM orders_cdc")
+def a01_count(spark, sf_dir):
+    return orders_cdc(spark, sf_dir).agg(F.count("*").alias("n"))
+
+
+@query(f"WITH {ORDERS} SELECT _row_kind, count(*) AS n FROM orders_cdc GROUP BY 1")
+def a02_kind_counts_orders(spark, sf_dir):
+    return merge.kind_counts(orders_cdc(spark, sf_dir))
+
+
+@query(f"WITH {EVENTS} SELECT _row_kind, count(*) AS n FROM events_cdc GROUP BY 1")
+def a02_kind_counts_events(spark, sf_dir):
+    return merge.kind_counts(events_cdc(spark, sf_dir))
+
+
+_SUMMARY = "count(*) AS total, count_if(_row_kind = 0) AS ins, count_if(_row_kind = 1) AS upd_before, count_if(_row_kind = 2) AS upd_after, count_if(_row_kind = 3) AS del, CAST(sum(CASE WHEN _row_kind IN (1, 3) THEN -1 ELSE 1 END) AS BIGINT) AS net"
+
+
+@query(f"WITH {ORDERS} SELECT CAST(total AS BIGINT) AS total, CAST(ins AS BIGINT) AS ins, CAST(upd_before AS BIGINT) AS upd_before, CAST(upd_after AS BIGINT) AS upd_after, CAST(del AS BIGINT) AS del, net FROM (SELECT {_SUMMARY} FROM orders_cdc)")
+def a03_net_rows(spark, sf_dir):
+    return merge.kind_summary(orders_cdc(spark, sf_dir))
+
+
+@query(f"""WITH {ORDERS}, {LINES}, {EVENTS},
+s AS (SELECT 'orders' AS name, {_SUMMARY} FROM orders_cdc UNION ALL SELECT 'lineitem', {_SUMMARY} FROM lineitem_upsert UNION ALL SELECT 'events', {_SUMMARY} FROM events_cdc),
+c AS (SELECT 'orders' AS name, count(*) AS n FROM orders WHERE o_orderkey % 7 <> 0 UNION ALL SELECT 'lineitem', count(*) FROM lineitem UNION ALL SELECT 'events', count(*) FROM events UNION ALL SELECT 'part', count(*) FROM part)
+SELECT name, n AS source_rows, coalesce(total, 0) AS events, coalesce(net, 0) AS net,
+ CASE WHEN total IS NULL OR total = 0 THEN 'missing' WHEN name IN ('lineitem') AND total = n THEN 'exact' WHEN net = n THEN 'net match' WHEN total >= n THEN 'captured, net differs' ELSE 'incomplete' END AS status
+FROM c LEFT JOIN s USING (name)""")
+def a04_reconcile(spark, sf_dir):
+    logs = {"orders": orders_cdc(spark, sf_dir), "lineitem": lineitem_upsert(spark, sf_dir), "events": events_cdc(spark, sf_dir)}
+    kinds_only = [df.select(F.lit(name).alias("name"), KIND) for name, df in logs.items()]
+    summary = merge.kind_summary(kinds_only[0].unionByName(kinds_only[1]).unionByName(kinds_only[2]), by=["name"])
+    sources = {"orders": table(spark, sf_dir, "orders").where("o_orderkey % 7 <> 0")} | {n: table(spark, sf_dir, n) for n in ("lineitem", "events", "part")}
+    counts = None
+    for name, df in sources.items():
+        one = df.agg(F.count("*").alias("n")).select(F.lit(name).alias("name"), "n")
+        counts = one if counts is None else counts.unionByName(one)
+    return merge.reconcile(counts, summary, ("lineitem",))
+
+
+@query(f"WITH {ORDERS} SELECT o_orderkey, arg_max(o_totalprice, _seq) AS o_totalprice, abs(arg_max(o_totalprice, _seq) - any_value(base)) < 0.005 AS same FROM (SELECT c.*, o.o_totalprice AS base FROM orders_cdc c JOIN orders o USING (o_orderkey)) WHERE _row_kind NOT IN (1, 3) GROUP BY o_orderkey")
+def a05_last_value(spark, sf_dir):
+    last = merge.last_values(orders_cdc(spark, sf_dir), ["o_orderkey"], "o_totalprice")
+    base = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_totalprice").alias("base"))
+    return last.join(base, "o_orderkey").select("o_orderkey", "o_totalprice", kinds.close_to(F.col("o_totalprice"), F.col("base")).alias("same"))
+
+
+# --- point reads and projections ---------------------------------------------------------------------------------------
+
+
+@query(f"WITH {ORDERS}, {live_sql('orders_cdc', 'o_orderkey')} SELECT * EXCLUDE (rn_) FROM live WHERE o_orderkey = 9")
+def p01_point_lookup(spark, sf_dir):
+    return merge.live(orders_cdc(spark, sf_dir), ["o_orderkey"]).where("o_orderkey = 9")
+
+
+@query(f"WITH {ORDERS}, {live_sql('orders_cdc', 'o_orderkey')} SELECT o_totalprice FROM live WHERE o_orderstatus = 'F'")
+def p02_project(spark, sf_dir):
+    return merge.live(orders_cdc(spark, sf_dir), ["o_orderkey"]).where("o_orderstatus = 'F'").select("o_totalprice")
+
+
+@query("SELECT r_regionkey, r_name FROM region ORDER BY r_regionkey")
+def p03_all_ordered(spark, sf_dir):
+    return table(spark, sf_dir, "region").orderBy("r_regionkey")
+
+
+@query("SELECT o_orderkey, o_orderdate, CAST(o_totalprice AS DECIMAL(18,4)) AS price, o_orderstatus = 'F' AS done FROM orders ORDER BY o_orderkey")
+def p04_typed_projection(spark, sf_dir):
+    return table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", F.col("o_totalprice").cast("decimal(18,4)").alias("price"), (F.col("o_orderstatus") == "F").alias("done")).orderBy("o_orderkey")
+
+
+@query(f"WITH {ORDERS}, {live_sql('orders_cdc', 'o_orderkey')} SELECT o_orderkey, o_totalprice FROM live ORDER BY o_orderkey LIMIT 5")
+def p05_preview(spark, sf_dir):
+    return merge.live(orders_cdc(spark, sf_dir), ["o_orderkey"]).select("o_orderkey", "o_totalprice").orderBy("o_orderkey").limit(5)
+
+
+@query(f"WITH {ORDERS} SELECT * EXCLUDE (_row_kind, _seq) FROM orders_cdc WHERE _row_kind = 3")
+def p06_hide_system(spark, sf_dir):
+    from tidelog.jobs import visible
+
+    return visible(orders_cdc(spark, sf_dir).where(F.col(KIND) == 3))
+
+
+# --- capture -----------------------------------------------------------------------------------------------------------
+
+
+@query("SELECT *, CAST(0 AS TINYINT) AS _row_kind FROM customer")
+def c01_inserts(spark, sf_dir):
+    return capture.inserts(table(spark, sf_dir, "customer"))
+
+
+@query("SELECT n_nationkey + 10 AS n_nationkey, n_name, n_regionkey, CAST(0 AS TINYINT) AS _row_kind FROM nation WHERE n_nationkey + 10 NOT IN (SELECT n_nationkey FROM nation)")
+def c03_insert_if_absent(spark, sf_dir):
+    nation = table(spark, sf_dir, "nation")
+    return capture.insert_if_absent(nation, nation.withColumn("n_nationkey", F.col("n_nationkey") + 10), ["n_nationkey"])
+
+
+@query("""SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, CAST(1 AS TINYINT) AS _row_kind, 0 AS _image FROM customer WHERE c_nationkey = 3
+UNION ALL SELECT c_custkey, c_name, c_nationkey, c_acctbal + 10, c_mktsegment, CAST(2 AS TINYINT), 1 FROM customer WHERE c_nationkey = 3""")
+def c04_update_images(spark, sf_dir):
+    return capture.updates(table(spark, sf_dir, "customer"), F.col("c_nationkey") == 3, {"c_acctbal": F.col("c_acctbal") + 10})
+
+
+@query("SELECT *, CAST(3 AS TINYINT) AS _row_kind FROM customer WHERE c_acctbal < 0")
+def c05_delete_images(spark, sf_dir):
+    return capture.deletes(table(spark, sf_dir, "customer"), F.col("c_acctbal") < 0)
+
+
+_TXN = "CAST(floor(event_id / 10) AS BIGINT)"
+
+
+@query(f"SELECT event_id, {_TXN} * 4294967296 + row_number() OVER (PARTITION BY {_TXN} ORDER BY event_id) - 1 AS _seq FROM events")
+def c07_seq(spark, sf_dir):
+    return capture.sequenced(table(spark, sf_dir, "events").select("event_id"), F.floor(F.col("event_id") / 10), [F.col("event_id")])
+
+
+@query(f"SELECT event_id, {_TXN} AS xid, row_number() OVER (PARTITION BY {_TXN} ORDER BY event_id) - 1 AS op FROM events")
+def c08_metadata(spark, sf_dir):
+    return capture.with_metadata(c07_seq(spark, sf_dir), "xid", "op").drop(SEQ)
+
+
+@query(f"SELECT event_id, user_id, {_TXN} AS txn FROM events WHERE {_TXN} % 5 <> 4")
+def c12_committed_only(spark, sf_dir):
+    changes = table(spark, sf_dir, "events").select("event_id", "user_id", F.floor(F.col("event_id") / 10).cast("long").alias("txn"))
+    transactions = changes.select("txn").distinct().withColumn("committed", F.col("txn") % 5 != 4)
+    return capture.committed(changes, transactions, "txn")
+
+
+def _after(part: DataFrame) -> DataFrame:
+    kept = part.where("p_partkey % 11 <> 0").withColumn("p_retailprice", F.when(F.col("p_partkey") % 5 == 0, F.col("p_retailprice") + 1).otherwise(F.col("p_retailprice")))
+    return kept.unionByName(part.where("p_partkey % 13 = 0").withColumn("p_partkey", F.col("p_partkey") + 1_000_000))
+
+
+_AFTER = "a AS (SELECT * REPLACE (CASE WHEN p_partkey % 5 = 0 THEN p_retailprice + 1 ELSE p_retailprice END AS p_retailprice) FROM part WHERE p_partkey % 11 <> 0 UNION ALL SELECT * REPLACE (p_partkey + 1000000 AS p_partkey) FROM part WHERE p_partkey % 13 = 0)"
+
+
+@query(f"""WITH {_AFTER}
+SELECT a.*, CAST(0 AS TINYINT) AS _row_kind, 0 AS _image FROM a ANTI JOIN part USING (p_partkey)
+UNION ALL SELECT part.*, CAST(3 AS TINYINT), 0 FROM part ANTI JOIN a USING (p_partkey)
+UNION ALL SELECT p.*, CAST(1 AS TINYINT), 0 FROM part p JOIN a ON a.p_partkey = p.p_partkey WHERE a.p_retailprice <> p.p_retailprice
+UNION ALL SELECT a.*, CAST(2 AS TINYINT), 1 FROM part p JOIN a ON a.p_partkey = p.p_partkey WHERE a.p_retailprice <> p.p_retailprice""")
+def c16_diff(spark, sf_dir):
+    part = table(spark, sf_dir, "part")
+    return capture.diff(part, _after(part), ["p_partkey"])
+
+
+@query("""WITH r AS (SELECT * REPLACE (p_partkey + 100 AS p_partkey) FROM part)
+SELECT r.*, CAST(0 AS TINYINT) AS _row_kind, 0 AS _image FROM r ANTI JOIN part USING (p_partkey)
+UNION ALL SELECT p.*, CAST(1 AS TINYINT), 0 FROM part p SEMI JOIN r USING (p_partkey)
+UNION ALL SELECT r.*, CAST(2 AS TINYINT), 1 FROM r SEMI JOIN part USING (p_partkey)""")
+def c03_upserts(spark, sf_dir):
+    part = table(spark, sf_dir, "part")
+    return capture.upserts(part, part.withColumn("p_partkey", F.col("p_partkey") + 100), ["p_partkey"])
+
+
+# --- flush policy ------------------------------------------------------------------------------------------------------
+
+
+@query(f"SELECT CAST(floor({_TXN} / 100) AS BIGINT) AS batch, count(*) AS n FROM events GROUP BY 1")
+def t10_flush_by_count(spark, sf_dir):
+    txn = F.floor(F.col("event_id") / 10).cast("long")
+    return table(spark, sf_dir, "events").groupBy(policy.batch_by_count(txn).alias("batch")).agg(F.count("*").alias("n"))
+
+
+@query("SELECT l_orderkey % 16 AS task, file_no, count(*) AS n FROM (SELECT l_orderkey, CAST(floor((row_number() OVER (PARTITION BY l_orderkey % 16 ORDER BY l_orderkey, l_linenumber, l_shipdate, l_partkey, l_suppkey, l_extendedprice) - 1) / 1000) AS BIGINT) AS file_no FROM lineitem) GROUP BY ALL")
+def t12_rowgroup(spark, sf_dir):
+    lines = table(spark, sf_dir, "lineitem").withColumn("task", F.col("l_orderkey") % 16)
+    order = [F.col(c) for c in ("l_orderkey", "l_linenumber", "l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice")]
+    return policy.batch_by_rows(lines, order, ["task"], 1000).groupBy("task", "file_no").agg(F.count("*").alias("n"))
+
+
+@query("""WITH RECURSIVE e AS (SELECT event_type, ts, row_number() OVER (PARTITION BY event_type ORDER BY ts) AS i FROM events),
+f AS (SELECT event_type, i, ts AS last, CAST(0 AS BIGINT) AS n FROM e WHERE i = 1
+ UNION ALL SELECT e.event_type, e.i, CASE WHEN e.ts - f.last >= INTERVAL 6 HOUR THEN e.ts ELSE f.last END, f.n + CASE WHEN e.ts - f.last >= INTERVAL 6 HOUR THEN 1 ELSE 0 END FROM f JOIN e ON e.event_type = f.event_type AND e.i = f.i + 1)
+SELECT event_type, max(n) AS flushes FROM f GROUP BY 1""")
+def t11_flush_by_age(spark, sf_dir):
+    return policy.flushes_by_age(table(spark, sf_dir, "events"), ["event_type"], "ts", 6 * 3600)
+
+
+@query("SELECT user_id, count(*) AS n, count_if(used > 2000) AS dropped FROM (SELECT user_id, sum(length(props)) OVER (PARTITION BY user_id ORDER BY event_id) AS used FROM events) GROUP BY 1")
+def t04_overload(spark, sf_dir):
+    marked = policy.overload(table(spark, sf_dir, "events"), [F.col("event_id")], ["user_id"], F.length("props"), 2000)
+    return marked.groupBy("user_id").agg(F.count("*").alias("n"), F.count_if("over").alias("dropped"))
+
+
+@query("SELECT time_bucket(INTERVAL 1 DAY, ts) AS start, time_bucket(INTERVAL 1 DAY, ts) + INTERVAL 1 DAY AS \"end\", event_type, count(*) AS n FROM events GROUP BY ALL")
+def t17_tumbling(spark, sf_dir):
+    return ingest.windowed_counts(table(spark, sf_dir, "events"), "ts", "1 day", by=("event_type",))
+
+
+@query("""WITH g AS (SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) < INTERVAL 12 HOUR THEN 0 ELSE 1 END AS fresh FROM events),
+s AS (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS no FROM g)
+SELECT min(ts) AS start, max(ts) + INTERVAL 12 HOUR AS "end", user_id, count(*) AS n FROM s GROUP BY user_id, no""")
+def x_window_sessions(spark, sf_dir):
+    return ingest.sessions(table(spark, sf_dir, "events"), "ts", "12 hours", ("user_id",))
+
+
+# --- codecs ------------------------------------------------------------------------------------------------------------
+
+
+@query("SELECT o_orderkey, CAST(CAST(o_orderdate AS DATE) - DATE '2000-01-01' AS INTEGER) AS days, CAST(o_orderdate AS DATE) AS back FROM orders")
+def f01_date(spark, sf_dir):
+    date = F.col("o_orderdate").cast("date")
+    return table(spark, sf_dir, "orders").select("o_orderkey", kinds.days_since_2000(date).alias("days"), kinds.date_of_days(kinds.days_since_2000(date)).alias("back"))
+
+
+@query("SELECT event_id, epoch_us(ts) - 946684800000000 AS micros, ts AS back FROM events")
+def f02_timestamp(spark, sf_dir):
+    micros = kinds.micros_since_2000(F.col("ts"))
+    return table(spark, sf_dir, "events").select("event_id", micros.alias("micros"), kinds.timestamp_of_micros(micros).alias("back"))
+
+
+@query("SELECT l_orderkey, l_linenumber, CAST(CAST(l_extendedprice AS VARCHAR) AS DECIMAL(18,2)) AS price FROM lineitem")
+def f03_decimal(spark, sf_dir):
+    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", kinds.to_decimal(F.col("l_extendedprice").cast("string"), 18, 2).alias("price"))
+
+
+@query("SELECT l_orderkey * 4294967296 + l_linenumber AS seq, l_orderkey AS xid, CAST(l_linenumber AS BIGINT) AS op FROM lineitem")
+def f08_seq_split(spark, sf_dir):
+    seq = kinds.compose_seq(F.col("l_orderkey"), F.col("l_linenumber"))
+    return table(spark, sf_dir, "lineitem").select(seq.alias("seq"), kinds.seq_xid(seq).alias("xid"), kinds.seq_op(seq).alias("op"))
+
+
+@query("SELECT l_orderkey * 65536 + l_linenumber AS tid FROM lineitem")
+def f09_tid(spark, sf_dir):
+    return table(spark, sf_dir, "lineitem").select(kinds.compose_tid(F.col("l_orderkey"), F.col("l_linenumber")).alias("tid"))
+
+
+@query("SELECT c_custkey, printf('%.4f', c_acctbal) AS shown FROM customer")
+def f13_four_decimals(spark, sf_dir):
+    return table(spark, sf_dir, "customer").select("c_custkey", kinds.four_decimals(F.col("c_acctbal")).alias("shown"))
+
+
+# --- tables on files ---------------------------------------------------------------------------------------------------
+
+
+@query(f"WITH {ORDERS} SELECT o_orderkey AS _KEY_o_orderkey, _seq AS _SEQUENCE_NUMBER, CAST(CASE WHEN _row_kind IN (1, 3) THEN 1 ELSE 0 END AS TINYINT) AS _VALUE_KIND, * FROM orders_cdc")
+def w03_physical_rows(spark, sf_dir):
+    return merge.physical(orders_cdc(spark, sf_dir), ["o_orderkey"])
+
+
+@query(f"WITH {ORDERS} SELECT CAST(CASE WHEN _row_kind IN (1, 3) THEN 1 ELSE 0 END AS TINYINT) AS value_kind, count(*) AS n FROM orders_cdc GROUP BY 1")
+def w04_value_kind(spark, sf_dir):
+    return orders_cdc(spark, sf_dir).groupBy(kinds.value_kind(F.col(KIND)).alias("value_kind")).agg(F.count("*").alias("n"))
+
+
+def _orders_table(spark: SparkSession, sf_dir: str) -> Table:
+    """Four commits by the sequence's remainder: inserts, old images, new images, deletes."""
+    changes = orders_cdc(spark, sf_dir)
+    made = warehouse(spark).create("orders", _business(changes), ("o_orderkey",))
+    for number in range(4):
+        made.append(changes.where(F.col(KIND) == number), batch=f"b{number}")
+    return made
+
+
+@query(f"WITH {ORDERS} SELECT * FROM orders_cdc")
+def s05_raw_scan(spark, sf_dir):
+    return _orders_table(spark, sf_dir).raw()
+
+
+@query(f"WITH {ORDERS}, {live_sql('orders_cdc', 'o_orderkey')} SELECT * EXCLUDE (rn_) FROM live")
+def s08_live_scan(spark, sf_dir):
+    return _orders_table(spark, sf_dir).live()
+
+
+@query(f"WITH {ORDERS} SELECT * FROM orders_cdc WHERE _row_kind IN (2, 3)")
+def s10_incremental(spark, sf_dir):
+    return _orders_table(spark, sf_dir).changes(1)
+
+
+@query("SELECT * FROM orders")
+def s_as_of(spark, sf_dir):
+    return _orders_table(spark, sf_dir).as_of(0)
+
+
+@query(f"WITH {ORDERS}, {live_sql('orders_cdc', 'o_orderkey')} SELECT * EXCLUDE (rn_) FROM live WHERE o_orderkey = 12")
+def s09_key_lookup(spark, sf_dir):
+    return _orders_table(spark, sf_dir).lookup(o_orderkey=12)
+
+
+@query(f"WITH {ORDERS} SELECT CAST(_row_kind AS INTEGER) AS snapshot_id, CAST(count(*) AS BIGINT) AS delta_rows FROM orders_cdc GROUP BY 1")
+def a06_snapshots(spark, sf_dir):
+    return _orders_table(spark, sf_dir).snapshots_frame().select("snapshot_id", "delta_rows")
+
+
+@query(f"WITH {ORDERS} SELECT CAST(sum(CASE WHEN _row_kind IN (1, 3) THEN 1 ELSE 0 END) AS BIGINT) AS deletes, count(*) AS n FROM orders_cdc")
+def w07_delete_rows(spark, sf_dir):
+    return _orders_table(spark, sf_dir).files_frame().agg(F.sum("deletes").alias("deletes"), F.sum("rows").alias("n"))
+
+
+@query(f"WITH {ORDERS}, {live_sql('orders_cdc', 'o_orderkey')}, top AS (SELECT o_orderkey, max(_seq) AS _seq FROM orders_cdc GROUP BY 1) SELECT live.* EXCLUDE (rn_), CAST(0 AS TINYINT) AS _row_kind, _seq FROM live JOIN top USING (o_orderkey)")
+def m04_compact(spark, sf_dir):
+    made = _orders_table(spark, sf_dir)
+    made.compact()
+    return made.raw()
+
+
+@query(f"WITH {ORDERS} SELECT * FROM orders_cdc WHERE _row_kind = 0")
+def m06_changes(spark, sf_dir):
+    return _orders_table(spark, sf_dir).changes(-1, 0)
+
+
+@query(f"WITH {ORDERS} SELECT * EXCLUDE (_row_kind, _seq) FROM orders_cdc WHERE _row_kind = 2")
+def e06_truncate(spark, sf_dir):
+    changes = orders_cdc(spark, sf_dir)
+    made = warehouse(spark).create("orders", _business(changes), ("o_orderkey",))
+    made.append(changes.where(F.col(KIND) == 0))
+    made.truncate()
+    made.append(changes.where(F.col(KIND) == 2))
+    return made.live()
+
+
+@query("""SELECT CAST(o_orderkey AS BIGINT) AS o_orderkey, o_custkey, o_orderstatus, o_totalprice AS total, o_orderdate, CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE 'n' || CAST(o_orderkey AS VARCHAR) END AS note FROM orders""")
+def e02_evolution(spark, sf_dir):
+    """Three versions of a table: as made; with a column; with that, a rename, a wider key and one column less."""
+    orders = table(spark, sf_dir, "orders").withColumn(KIND, F.lit(0).cast("tinyint")).withColumn(SEQ, F.col("o_orderkey"))
+    part = lambda n: orders.where(F.col("o_orderkey") % 3 == n)
+    old = part(0).withColumn("o_custkey", F.col("o_custkey").cast("int"))
+    made = warehouse(spark).create("orders", _business(old), ("o_orderkey",))
+    made.append(old)
+    made.add_column("note", T.StringType())
+    note = F.concat(F.lit("n"), F.col("o_orderkey").cast("string"))
+    made.append(part(1).withColumn("note", note))
+    made.rename_column("o_totalprice", "total")
+    made.change_type("o_custkey", T.LongType())
+    made.drop_column("o_orderpriority")
+    made.append(part(2).withColumn("note", note).withColumnRenamed("o_totalprice", "total"))
+    return made.live()
+
+
+@query("SELECT CAST(s_suppkey AS VARCHAR) AS s_suppkey_text, s_name FROM (SELECT s_suppkey, s_name FROM supplier)")
+def e05_type_to_text(spark, sf_dir):
+    rows = table(spark, sf_dir, "supplier").select("s_suppkey", F.col("s_suppkey").alias("s_suppkey_text"), "s_name").withColumn(KIND, F.lit(0).cast("tinyint")).withColumn(SEQ, F.col("s_suppkey"))
+    made = warehouse(spark).create("supplier", _business(rows), ("s_suppkey",))
+    made.append(rows)
+    made.change_type("s_suppkey_text", T.StringType())
+    return made.live().drop("s_suppkey")
+
+
+@query("SELECT r_regionkey, r_name, CAST(NULL AS VARCHAR) AS extra FROM region")
+def e12_null_pad(spark, sf_dir):
+    region = table(spark, sf_dir, "region")
+    return capture.padded(region.withColumn("unknown", F.lit(1)), region.withColumn("extra", F.lit(None).cast("string")))
+
+
+@query("SELECT count(DISTINCT part_no) AS files, sum(n) AS n FROM (SELECT o_orderkey % 2 AS part_no, count(*) AS n FROM orders GROUP BY 1)")
+def w15_sync(spark, sf_dir):
+    """Two commits mirrored elsewhere: files and rows that the mirror shows."""
+    from tidelog.sources.sync import sync
+
+    rows = table(spark, sf_dir, "orders").withColumn(KIND, F.lit(0).cast("tinyint")).withColumn(SEQ, F.col("o_orderkey"))
+    catalog = warehouse(spark)
+    made = catalog.create("orders", _business(rows), ("o_orderkey",))
+    for number in (0, 1):
+        made.append(rows.where(F.col("o_orderkey") % 2 == number), files=1)
+    sync(spark, made.path, f"{catalog.warehouse}/mirror.db/orders")
+    mirror = catalog.table("mirror.orders")
+    return mirror.files_frame().agg(F.count("*").alias("files"), F.sum("rows").cast("decimal(38,0)").alias("n"))
+
+
+# --- beyond the reference: plain SQL over live and changelog tables ----------------------------------------------------
+
+
+@query(f"WITH {ORDERS}, {live_sql('orders_cdc', 'o_orderkey')} SELECT c_mktsegment, count(*) AS n FROM live JOIN customer ON o_custkey = c_custkey GROUP BY 1")
+def j_live_customer(spark, sf_dir):
+    return merge.live(orders_cdc(spark, sf_dir), ["o_orderkey"]).join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey")).groupBy("c_mktsegment").agg(F.count("*").alias("n"))
+
+
+@query("SELECT p.user_id, p.event_id, arg_max(s.event_id, s.event_id) AS seen FROM events p LEFT JOIN events s ON s.user_id = p.user_id AND s.event_type = 'signup' AND s.event_id <= p.event_id WHERE p.event_type = 'purchase' GROUP BY ALL")
+def j_asof_live(spark, sf_dir):
+    """For each purchase the signup that was live then: one pass over each user's history instead of a range join."""
+    before = Window.partitionBy("user_id").orderBy("event_id").rowsBetween(Window.unboundedPreceding, 0)
+    seen = F.last(F.when(F.col("event_type") == "signup", F.col("event_id")), ignorenulls=True).over(before)
+    return table(spark, sf_dir, "events").where(F.col("event_type").isin("signup", "purchase")).withColumn("seen", seen).where(F.col("event_type") == "purchase").select("user_id", "event_id", "seen")
+
+
+@query(f"WITH {EVENTS} SELECT event_type, _row_kind, count(*) AS n FROM events_cdc GROUP BY ROLLUP (event_type, _row_kind)")
+def x_rollup_kinds(spark, sf_dir):
+    return events_cdc(spark, sf_dir).rollup("event_type", KIND).agg(F.count("*").alias("n"))
+
+
+@query(f"WITH {ORDERS} SELECT o_orderkey, _seq, o_totalprice, lag(o_totalprice) OVER (PARTITION BY o_orderkey ORDER BY _seq) AS previous_o_totalprice FROM orders_cdc")
+def x_history(spark, sf_dir):
+    return merge.history(orders_cdc(spark, sf_dir), ["o_orderkey"], "o_totalprice").select("o_orderkey", SEQ, "o_totalprice", "previous_o_totalprice")
+
+
+@query(f"WITH {ORDERS}, {live_sql('orders_cdc', 'o_orderkey')} SELECT o_orderkey, o_totalprice FROM orders EXCEPT ALL SELECT o_orderkey, o_totalprice FROM live")
+def x_compare_tables(spark, sf_dir):
+    pick = ["o_orderkey", "o_totalprice"]
+    return table(spark, sf_dir, "orders").select(*pick).exceptAll(merge.live(orders_cdc(spark, sf_dir), ["o_orderkey"]).select(*pick))
+
+
+# --- streaming ---------------------------------------------------------------------------------------------------------
+
+
+@query(f"WITH {ORDERS}, {live_sql('orders_cdc', 'o_orderkey')} SELECT * EXCLUDE (rn_) FROM live")
+def t14_stream_ingest(spark, sf_dir):
+    """The changelog as a stream of files, committed batch by batch, then read merged."""
+    changes, catalog = orders_cdc(spark, sf_dir), warehouse(spark)
+    inbox = f"{catalog.warehouse}/inbox"
+    changes.repartition(4, KIND).write.parquet(inbox)
+    made = catalog.create("orders", _business(changes), ("o_orderkey",))
+    stream = ingest.change_files(spark, inbox, spark.read.parquet(inbox).schema, files_a_batch=2)
+    ingest.ingest(stream, {"orders": made}, f"{catalog.warehouse}/checkpoint").awaitTermination()
+    return made.live()
