@@ -75,8 +75,8 @@ def find_phrases(index: DataFrame, items: DataFrame, width: int = WIDTH) -> Data
     """row, ranges (array of [first, last] word positions within occurrences), items (sorted ids): documents with an occurrence of a window."""
     anchors = written(_anchors(index, items, width), "anchors")
     terms = _listed(anchors, "term")
-    places = F.sequence(F.lit(0), F.size("postings") - 1)
-    hits = places if terms is None else F.filter(places, lambda k: F.get(F.col("postings.term"), k).isin(terms) if terms else F.lit(False))
+    wanted = lambda p, k: k if terms is None else F.when(p["term"].isin(terms) if terms else F.lit(False), k)
+    hits = F.filter(F.transform("postings", wanted), lambda k: k.isNotNull())
     context = F.transform(hits, lambda k: F.struct(F.least(k, F.lit(width - 1)).alias("centre"), F.slice("postings", F.greatest(k - (width - 1), F.lit(0)) + 1, 2 * width - 1).alias("around")))
     posted = index.where(F.size("postings") > 0).select("row", F.explode(context).alias("hit")).select("row", "hit.*").withColumn("term", F.get("around", F.col("centre"))["term"])
     pairs = posted.join(anchors, "term")
