@@ -60,7 +60,7 @@ class LanguageModel:
 
     def _table(self, by: dict[str, Counter]) -> tuple[list[str], np.ndarray]:
         entries = sorted({e for lang in self.langs for e in by.get(lang, ())})
-        counts = np.asarray([[by.get(lang, {}).get(e, 0) for e in entries] for lang in self.langs], float).reshape(len(self.langs), -1)
+        counts = np.asarray([[by.get(lang, {}).get(e, 0) for e in entries] for lang in self.langs], float).reshape(len(self.langs), len(entries))
         logs = np.log(counts + 0.5) - np.log(counts.sum(1, keepdims=True) + 0.5 * max(1, len(entries)))
         return entries, logs.T.astype(np.float32).copy()
 

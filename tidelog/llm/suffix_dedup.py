@@ -153,15 +153,13 @@ def suffix_array(data: np.ndarray) -> np.ndarray:
     n = len(data)
     key = words_at(np.concatenate([data, np.zeros(7, np.uint8)]), big=True)
     order = np.argsort(key, kind="stable")
-    if n > 7:  # the zeros behind the end must not equal zero bytes within the text: shorter suffixes come first
-        tail = np.arange(n - 7, n)
-        if not data.min():
-            length = np.full(n, 8)
-            length[tail] = n - tail
-            order = np.lexsort((length, key))
+    zeros = not data.min()
+    if zeros:  # the zeros behind the end must not equal zero bytes within the text: shorter suffixes come first
+        length = np.minimum(n - np.arange(n), 8)
+        order = np.lexsort((length, key))
     sorted_key = key[order]
     new = np.concatenate([[True], sorted_key[1:] != sorted_key[:-1]])
-    if n > 7 and not data.min():
+    if zeros:
         new[1:] |= length[order][1:] != length[order][:-1]
     rank = np.empty(n + 1, np.int64)
     rank[n] = -1
@@ -195,7 +193,7 @@ def common_prefixes(data: np.ndarray, order: np.ndarray) -> np.ndarray:
     before = np.empty(n, np.int64)
     before[order[1:]] = order[:-1]
     before[order[0]] = -1
-    prior = np.where(before > 0, data[before - 1], 0)
+    prior = np.where(before > 0, data[np.maximum(before - 1, 0)], 0)
     own = np.concatenate([[0], data[:-1]])
     compare = (before <= 0) | (np.arange(n) == 0) | (prior != own)
     at = np.flatnonzero(compare & (before >= 0))
@@ -204,7 +202,7 @@ def common_prefixes(data: np.ndarray, order: np.ndarray) -> np.ndarray:
     a, b, where = at.copy(), before[at], at
     while len(where):
         limit = n - np.maximum(a, b)
-        differ = eight[np.minimum(a, n)] ^ eight[np.minimum(b, n)]
+        differ = eight[a] ^ eight[b]
         low = differ & (~differ + np.uint64(1))
         same = np.where(differ == 0, 8, np.bitwise_count(low - np.uint64(1)) // 8).astype(np.int64)
         same = np.minimum(same, limit)

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 CHAIN = (("low_quality", "quality", 0), ("toxic", "toxic", 1))  # category, label column, the value that counts
 SAMPLE, FOLDS, WORDS, LEAST_DOCS, RIDGE, STEPS = 1_500, 5, 300, 3, 1.0, 8
 THRESHOLD = 0.5
+FORM = 5
 WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -111,7 +112,7 @@ class Chain:
     def predict(self, texts: list[str | None]) -> np.ndarray:
         """A column a category."""
         read = [features(t) for t in texts]
-        found, numbers = [r[0] for r in read], np.asarray([r[1] for r in read]).reshape(len(texts), -1)
+        found, numbers = [r[0] for r in read], np.asarray([r[1] for r in read]).reshape(len(texts), FORM)
         for model in self.models:
             numbers = np.column_stack([numbers, model.predict(found, numbers)])
         return numbers[:, numbers.shape[1] - len(self.models) :]
@@ -120,7 +121,7 @@ class Chain:
     def fit(cls, texts: list[str | None], labels: dict[str, np.ndarray], weight: np.ndarray) -> Chain:
         """``labels``: by category 0, 1 or nan."""
         read = [features(t) for t in texts]
-        found, numbers = [r[0] for r in read], np.asarray([r[1] for r in read]).reshape(len(texts), -1)
+        found, numbers = [r[0] for r in read], np.asarray([r[1] for r in read]).reshape(len(texts), FORM)
         fold, models = np.arange(len(texts)) % FOLDS, []
         for y in labels.values():
             known = ~np.isnan(y)
@@ -164,7 +165,8 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "do
         y = {name: np.asarray([np.nan if r[1 + i] is None else float(r[1 + i] == value) for r in ordered]) for i, (name, _, value) in enumerate(CHAIN)}
         yield pa.RecordBatch.from_arrays([pa.array([Chain.fit([r[0] for r in ordered], y, weight).to_json()])], ["model"])
 
-    return Chain.of_json(sample.coalesce(1).mapInArrow(fit, "model string").first()[0])
+    found = sample.coalesce(1).mapInArrow(fit, "model string").first()
+    return Chain.of_json(found[0]) if found else Chain.fit([], {name: np.empty(0) for name, _, _ in CHAIN}, np.empty(0))
 
 
 def predict(docs: DataFrame, chain: Chain, text: str = "text", key: str = "doc_id") -> DataFrame:
