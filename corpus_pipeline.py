@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidelog.llm import decontaminate, mixing, simhash, tokens_orc, toxicity
+from tidelog.llm import decontaminate, mixing, near_copies, tokens_orc, toxicity
 from tidelog.llm.common import table, written
 from tidelog.llm.queries import tokenizer_path
 
@@ -25,8 +25,8 @@ def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group the smallest id stays."""
-    return simhash.keep_representatives(docs)
+    """Of each group of near copies (five-word shingles, similarity 0.8 or more, by SimHash and pivots) the smallest id stays."""
+    return near_copies.keep_representatives(docs)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tests.conftest import SF
-from tidelog.llm import decontaminate, language, mixing, neighbours, queries, secrets, simhash, suffix_dedup, tokens_orc, toxicity, url_filter
+from tidelog.llm import decontaminate, language, mixing, near_copies, neighbours, queries, secrets, simhash, suffix_dedup, tokens_orc, toxicity, url_filter
 
 LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 DOCS = T.StructType([T.StructField(n, t) for n, t in (("doc_id", T.LongType()), ("text", T.StringType()), ("lang", T.StringType()), ("source", T.StringType()), ("n_chars", T.LongType()), ("spans", T.StringType()), ("fp", T.LongType()), ("row", T.LongType()))])
@@ -270,6 +270,55 @@ def test_links_of_a_dense_ball_and_a_chain(spark):
     assert len({(a, b) for a, b in zip(roots, label, strict=True)}) == len(set(roots)) == len(set(label))
 
 
+def brute_near(rows):
+    """The smallest id of each id's group under a similarity of 0.8 of five-word sets."""
+    sets = []
+    for i, text in rows:
+        w = re.findall(r"[^\x20\x09-\x0d]+", (text or "").translate(LOW))
+        sets.append((i, {" ".join(w[k : k + 5]) for k in range(len(w) - 4)} if len(w) >= 5 else {" ".join(w)}))
+    least = {i: i for i, _ in sets}
+    for n, (i, a) in enumerate(sets):
+        for j, b in sets[:n]:
+            if 5 * len(a & b) >= 4 * len(a | b) and least[i] != least[j]:
+                low, high = sorted((least[i], least[j]))
+                least = {k: low if v == high else v for k, v in least.items()}
+    return least
+
+
+def edited(rng, words_of, changes):
+    out = list(words_of)
+    for at in rng.choice(len(out), changes, replace=False):
+        out[at] = f"new{rng.integers(1 << 40)}"
+    return " ".join(out)
+
+
+def test_near_copies(spark, odd):
+    rng = np.random.default_rng(11)
+    rows, base = [], [f"w{rng.integers(1 << 40)}" for _ in range(300)]
+    for n in range(60):  # one large group whose members are seldom similar to its smallest id
+        rows.append((int(rng.integers(1 << 40)), edited(rng, base, 1 + n % 12)))
+    chain = list(base)
+    for _ in range(12):  # and a chain that leaves it step by step
+        chain = edited(rng, chain, 6).split(" ")
+        rows.append((int(rng.integers(1 << 40)), " ".join(chain)))
+    for _ in range(30):
+        alone = [f"w{rng.integers(1 << 40)}" for _ in range(80)]
+        rows += [(int(rng.integers(1 << 40)), edited(rng, alone, k)) for k in (1, 1, 9)]
+    found = {r.doc_id: r.component_id for r in near_copies.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found == brute_near(rows)
+
+
+def test_near_copies_of_odd_rows(odd):
+    rows = [(i, t) for i, t in pairs(odd) if i is not None]
+    expected = brute_near(rows)
+    found = near_copies.near_copies(odd).collect()
+    assert sorted(r.doc_id for r in found) == sorted(i for i, _ in rows)
+    assert all(r.component_id == expected[r.doc_id] for r in found)
+    kept = [r.doc_id for r in near_copies.keep_representatives(odd).collect()]
+    assert sorted(i for i in kept if i is not None) == sorted({i for i in expected if expected[i] == i}) and kept.count(None) == sum(i is None for i, _ in pairs(odd))
+    assert near_copies.near_copies(odd.limit(0)).count() == near_copies.keep_representatives(odd.limit(0)).count() == 0
+
+
 # --- 9
 
 

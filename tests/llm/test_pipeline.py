@@ -2,7 +2,7 @@
 
 import corpus_pipeline
 from tests.conftest import SF
-from tests.llm.test_operators import brute_components, brute_fingerprint, brute_hits, pairs, words
+from tests.llm.test_operators import brute_hits, brute_near, pairs, words
 from tidelog.llm import mixing, toxicity
 
 
@@ -14,11 +14,10 @@ def test_stages(spark):
     bad = {r.doc_id for r in toxicity.predict(docs, toxicity.train(docs, spark.read.parquet(f"{SF}/labels.parquet"))).where("toxic").collect()}
     rows = pairs(clean)
     assert {i for i, _ in rows} == {i for i, _ in pairs(docs)} - bad and clean.columns == docs.columns
-    groups = brute_components([brute_fingerprint(t) for _, t in rows])
-    first = {g: min(i for (i, _), h in zip(rows, groups, strict=True) if h == g) for g in groups}
+    first = {i for i, least in brute_near(rows).items() if i == least}
     unique = named["near_duplicates"](spark, clean, SF)
     rows = pairs(unique)
-    assert sorted(i for i, _ in rows) == sorted(first.values()) and unique.columns == docs.columns
+    assert sorted(i for i, _ in rows) == sorted(first) and unique.columns == docs.columns
     items = [(str(r.item_id), words(r.text)) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
     fresh = named["decontamination"](spark, unique, SF)
     assert sorted(i for i, _ in pairs(fresh)) == sorted(i for i, t in rows if not brute_hits(t, items)[1]) and fresh.columns == docs.columns

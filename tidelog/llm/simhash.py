@@ -44,10 +44,15 @@ def fingerprints(texts: list[bytes]) -> np.ndarray:
     digest = partial(xxhash.xxh64_intdigest, seed=SEED)
     hashes = [np.fromiter(map(digest, s), np.uint64, len(s)) for s in map(shingles, texts)]
     sizes = np.array([len(h) for h in hashes], np.int64)
-    out = np.zeros(len(texts), np.uint64)
-    if not sizes.sum():
+    return majority(np.concatenate([*hashes, np.empty(0, np.uint64)]), sizes)
+
+
+def majority(flat: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """A fingerprint for each run of ``sizes`` hashes: the bits that over half of them have; 0 for an empty run."""
+    out = np.zeros(len(sizes), np.uint64)
+    if not len(flat):
         return out
-    flat, full = np.concatenate(hashes), np.flatnonzero(sizes)
+    full = np.flatnonzero(sizes)
     pieces = [np.arange(0, n, 255) + at for n, at in zip(sizes[full], (np.cumsum(sizes) - sizes)[full], strict=True)]
     cuts, first = np.concatenate(pieces), np.cumsum([0, *(len(p) for p in pieces[:-1])])
     for bit in range(8):  # eight counters a word of memory; 255 summands can't overflow a byte
