@@ -165,7 +165,8 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "do
         y = {name: np.asarray([np.nan if r[1 + i] is None else float(r[1 + i] == value) for r in ordered]) for i, (name, _, value) in enumerate(CHAIN)}
         yield pa.RecordBatch.from_arrays([pa.array([Chain.fit([r[0] for r in ordered], y, weight).to_json()])], ["model"])
 
-    found = sample.coalesce(1).mapInArrow(fit, "model string").first()
+    # Repartitioned, not coalesced: only the sample goes to one task, the documents are read by many.
+    found = sample.repartition(1).mapInArrow(fit, "model string").first()
     return Chain.of_json(found[0]) if found else Chain.fit([], {name: np.empty(0) for name, _, _ in CHAIN}, np.empty(0))
 
 
