@@ -5,9 +5,10 @@ share one of ``BANDS`` keys of ``ROWS`` shingle minima (two texts at exactly 0.8
 ones less often); pairs whose distances to the pivots or whose fingerprints differ by more than ``RADIUS`` bits are discarded;
 the sets of the survivors are compared exactly.
 
-A key's rows are never paired all with all. First each is compared with the key's smallest id; that forms components. Then
-only rows outside the smallest id's component are compared with the key's rows of other components, so that no link between
-components is lost. Exact copies (equal words) are one text from the start. No key is capped.
+A key's rows are never paired all with all. First each is compared with the key's smallest id; that forms components. Rows of
+keys that still hold several components are then filed under their rarest shingles (``prefix_pairs``), where any two similar
+ones of different components meet, so that no link is lost. Exact copies (equal words) are one text from the start. No key is
+capped.
 
 Words are as in ``simhash``. A text of fewer than five words is one shingle; texts without words (null too) are copies of each
 other.
@@ -29,6 +30,7 @@ from .common import text_bytes, written
 from .simhash import PIVOTS, components, majority, shingles
 
 WIDTH, BANDS, ROWS, RADIUS, SEED = 5, 24, 5, 26, 7
+RARITY_BITS = 18
 _A = np.array([xxhash.xxh64_intdigest(b"factor %d" % i, SEED) | 1 for i in range(BANDS * ROWS)], np.uint64)
 _C = np.array([xxhash.xxh64_intdigest(b"mask %d" % i, SEED) for i in range(BANDS * ROWS)], np.uint64)
 
@@ -103,6 +105,64 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.mapInArrow(run, f"a {kind}, b {kind}")
 
 
+def prefix_pairs(left: DataFrame, texts: DataFrame) -> DataFrame:
+    """(a, b, fa, fb): pairs of ``left`` (doc_id, fp, at) of different components ``at``, every similar one among them.
+
+    All shingles have one order, rare ones first. In it the first common shingle of two similar sets is among the first
+    n - 0.8 n + 1 of each, and at least 4/9 of both sizes' sum must follow in both. What many unlike texts share, such as a
+    long passage, comes late in the order and makes no pairs. Rarity is counted over ``left`` by ``2 ** RARITY_BITS`` ranges of
+    the hash, a table of fixed size; whatever it says, no similar pair is lost.
+    """
+    kind = left.schema["doc_id"].dataType.simpleString()
+    digest = partial(xxhash.xxh64_intdigest, seed=SEED)
+    shift = np.uint64(64 - RARITY_BITS)
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                sets = [np.unique(np.fromiter(map(digest, s), np.uint64, len(s))).tobytes() for s in (shingles(t.as_py(), WIDTH) for t in part.column(3))]
+                yield pa.RecordBatch.from_arrays([*part.columns[:3], pa.array(sets, pa.binary())], ["doc_id", "fp", "at", "hashes"])
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1 << RARITY_BITS, np.int64)
+        for batch in batches:
+            for blob in batch.column(0):
+                np.add.at(total, (np.frombuffer(blob.as_py(), np.uint64) >> shift).astype(np.int64), 1)
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["range", "n"])
+
+    sets = written(texts.join(left, "doc_id").select("doc_id", "fp", "at", "text").mapInArrow(hashed, f"doc_id {kind}, fp long, at {kind}, hashes binary"), "sets")
+    told = sets.select("hashes").mapInArrow(counted, "range long, n long").groupBy("range").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(1 << RARITY_BITS, np.int64)
+    counts[np.asarray(told.column(0))] = np.asarray(told.column(1))
+    shared = left.sparkSession.sparkContext.broadcast(counts)
+
+    def filed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common = shared.value
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                read = [np.frombuffer(b.as_py(), np.uint64) for b in part.column(3)]
+                sizes = np.asarray([len(h) for h in read], np.int64)
+                lengths = np.where(sizes, sizes + 1 - (4 * sizes + 4) // 5, 0)
+                first = [h[np.lexsort((h, common[(h >> shift).astype(np.int64)]))[:n]] for h, n in zip(read, lengths, strict=True)]
+                keys = np.concatenate([*first, np.empty(0, np.uint64)]).view(np.int64)
+                rows = np.repeat(np.arange(len(sizes)), lengths)
+                rest = sizes[rows] - (np.arange(len(rows)) - np.repeat(np.cumsum(lengths) - lengths, lengths))
+                columns = part.take(pa.array(rows))
+                yield pa.RecordBatch.from_arrays([*columns.columns[:3], pa.array(keys), pa.array(sizes[rows]), pa.array(rest)], ["doc_id", "fp", "at", "key", "n", "rest"])
+
+    made = sets.mapInArrow(filed, f"doc_id {kind}, fp long, at {kind}, key long, n long, rest long")
+    # One table for both sides, so that it is computed and shuffled once.
+    made = written(made, "prefixes")
+    side = lambda x: made.select("key", F.col("doc_id").alias(x), *(F.col(c).alias(f"{c}_{x}") for c in ("fp", "at", "n", "rest")))
+    close = F.bit_count(F.col("fp_a").bitwiseXOR(F.col("fp_b"))) <= RADIUS
+    enough = 9 * F.least("rest_a", "rest_b") >= 4 * (F.col("n_a") + F.col("n_b"))
+    both = side("a").join(side("b"), "key").where((F.col("at_a") < F.col("at_b")) & enough & close)
+    return both.select("a", "b", F.col("fp_a").alias("fa"), F.col("fp_b").alias("fb"))
+
+
 def near_copies(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """doc_id, component_id (smallest id of the documents it is connected to, itself included), for every row that has an id."""
     made = written(sketches(docs, text, key), "sketches")
@@ -120,13 +180,10 @@ def near_copies(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Dat
     root = lambda name: found.select(F.col("node").alias(name), F.col("root").alias(f"{name}_root"))
     known = members.join(root("least"), "least", "left").join(root("leader"), "leader", "left")
     known = known.select("key", "least", "leader", "fp", F.coalesce("least_root", "least").alias("at"), F.coalesce("leader_root", "leader").alias("leads"))
-    known = written(known, "known")
-    apart = known.where("at <> leads").select("key", F.col("least").alias("a"), F.col("fp").alias("fa"), F.col("at").alias("a_at"))
-    others = known.where("least <> leader").select("key", F.col("least").alias("b"), F.col("fp").alias("fb"), F.col("at").alias("b_at"))
-    close = F.bit_count(F.col("fa").bitwiseXOR(F.col("fb"))) <= RADIUS
-    second = others.join(apart, "key").where((F.col("a_at") != F.col("b_at")) & close)
-    second = second.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.when(F.col("a") < F.col("b"), F.col("fa")).otherwise(F.col("fb")).alias("fa"), F.when(F.col("a") < F.col("b"), F.col("fb")).otherwise(F.col("fa")).alias("fb"))
-    more = written(survivors(second), "pairs")
+    known = written(known.where("least <> leader"), "known")
+    mixed = known.where("at <> leads").select("key").distinct()
+    left = known.join(mixed, "key", "left_semi").groupBy(F.col("least").alias("doc_id")).agg(F.first("fp").alias("fp"), F.first("at").alias("at"))
+    more = written(survivors(prefix_pairs(left, whole)), "pairs")
     if not more.isEmpty():
         links = written(links.unionByName(verified(more, whole)), "similar")
         found = written(components(links), "roots")
