@@ -8,7 +8,8 @@ document (``FOLDS`` folds), so that a later model doesn't trust it more than it
 It is fitted on a bounded sample of labelled documents, ``SAMPLE`` of each combination of labels at most (those with the
 smallest hash of the id), weighted back to the combinations' true sizes. Fitting is one executor task over that sample; the
 model that comes back has a few thousand numbers. Null texts are empty. Labels that are null are left out of their category;
-a category without both labels in the sample has its share as probability everywhere; without labels at all it is 0.
+a category without both labels in the sample has its share as probability everywhere; without labels at all it is 0. Of rows
+that repeat a label's id the smallest labels count.
 """
 
 from __future__ import annotations
@@ -19,11 +20,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 CHAIN = (("low_quality", "quality", 0), ("toxic", "toxic", 1))  # category, label column, the value that counts
 SAMPLE, FOLDS, WORDS, LEAST_DOCS, RIDGE, STEPS = 1_500, 5, 300, 3, 1.0, 8
+MARGIN = 1.25
 THRESHOLD = 0.5
 FORM = 5
 WORD = re.compile(r"[^\W\d_]+")
@@ -142,21 +144,31 @@ class Chain:
 
 def train(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id") -> Chain:
     columns = [c for _, c, _ in CHAIN]
-    named = labels.select(F.col(key).alias("id"), *(F.col(c).alias(f"y{i}") for i, c in enumerate(columns))).where("id is not null").dropDuplicates(["id"])
     keys = [f"y{i}" for i in range(len(columns))]
-    sizes = named.groupBy(*keys).count()
-    rank = Window.partitionBy(*keys).orderBy(F.xxhash64("id"), "id")
-    top = named.withColumn("n", F.row_number().over(rank)).where(F.col("n") <= SAMPLE)
-    sizes_by = {tuple(r[k] for k in keys): r["count"] for r in sizes.collect()}
-    sample = docs.select(F.col(key).alias("id"), F.col(text).alias("text")).join(F.broadcast(top.select("id", *keys)), "id")
+    named = labels.select(F.col(key).alias("id"), F.struct(*(F.col(c).alias(k) for k, c in zip(keys, columns, strict=True))).alias("y")).where("id is not null")
+    named = named.groupBy("id").agg(F.min("y").alias("y")).select("id", "y.*", F.xxhash64("id").alias("h"))
+    sizes_by = {tuple(r[k] for k in keys): r["count"] for r in named.groupBy(*keys).count().collect()}
+    # Ids below a bound of the hash: about MARGIN * SAMPLE of each combination, found without ranking; fit() keeps the SAMPLE smallest.
+    low = F.lit(False)
+    for combination, n in sizes_by.items():
+        mine = F.lit(True)
+        for k, value in zip(keys, combination, strict=True):
+            mine &= F.col(k).eqNullSafe(F.lit(value))
+        low |= mine & (F.col("h").cast("double") <= 2.0**64 * min(1.0, MARGIN * SAMPLE / n) - 2.0**63)
+    sample = docs.select(F.col(key).alias("id"), F.col(text).alias("text")).join(F.broadcast(named.where(low)), "id")
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: dict[int, tuple] = {}
         for batch in batches:
             for row in batch.to_pylist():
                 if row["id"] not in rows or (row["text"] or "") < (rows[row["id"]][0] or ""):
-                    rows[row["id"]] = (row["text"], *(row[k] for k in keys))
-        ordered = [rows[i] for i in sorted(rows, key=lambda i: (i * 2654435761 % (1 << 32), i))]
+                    rows[row["id"]] = (row["text"], *(row[k] for k in keys), row["h"])
+        room: dict[tuple, int] = {}
+        for i in sorted(rows, key=lambda i: (rows[i][-1], i)):
+            labelled = rows[i][1:-1]
+            room[labelled] = room.get(labelled, 0) + 1
+            rows[i] = rows[i][:-1] if room[labelled] <= SAMPLE else None
+        ordered = [rows[i] for i in sorted(rows, key=lambda i: (i * 2654435761 % (1 << 32), i)) if rows[i]]
         taken: dict[tuple, int] = {}
         for r in ordered:
             taken[r[1:]] = taken.get(r[1:], 0) + 1
