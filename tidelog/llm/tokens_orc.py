@@ -24,30 +24,27 @@ CACHE_WORDS = 400_000
 _ODD = ("\x1c", "\x1d", "\x1e", "\x1f")  # str.split() breaks here, the tokenizer doesn't
 
 
-class WordEncoder:
-    """The tokenizer's ids of a text, by white-space chunk: it drops white space and merges nothing across it, so a chunk's ids depend on the chunk alone and frequent ones are kept."""
+class WordEncoder(dict):
+    """The tokenizer's ids of a text, by white-space chunk: it drops white space and merges nothing across it, so a chunk's ids depend on the chunk alone. The dictionary holds the chunks met, ``CACHE_WORDS`` at most."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known = Tokenizer.from_file(path), {}
+        super().__init__()
+        self.tokenizer = Tokenizer.from_file(path)
 
     def _raw(self, text: str) -> bytes:
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def __missing__(self, word: str) -> bytes:
+        if len(self) >= CACHE_WORDS:
+            self.clear()
+        self[word] = found = self._raw(word)
+        return found
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids."""
-        split = [None if any(c in t for c in _ODD) else t.split() for t in texts]
-        words = {w for s in split if s for w in s if w not in self.known}
-        if len(self.known) + len(words) > CACHE_WORDS:
-            self.known.clear()
-            words = {w for s in split if s for w in s}
-        new = list(words)
-        for at in range(0, len(new), 4096):
-            part = new[at : at + 4096]
-            for word, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self.known[word] = np.asarray(found.ids, "<u4").tobytes()
-        return [self._raw(t) if s is None else b"".join(map(self.known.__getitem__, s)) for t, s in zip(texts, split, strict=True)]
+        return [self._raw(t) if any(c in t for c in _ODD) else b"".join(map(self.__getitem__, t.split())) for t in texts]
 
 
 def id_bounds(docs: DataFrame, key: str, files: int) -> np.ndarray:
