@@ -3,7 +3,7 @@
 Such texts differ in about ten of a 64-bit SimHash's bits, which no key over fingerprints alone can reach. So candidates
 share one of ``BANDS`` keys of ``ROWS`` shingle minima (two texts at exactly 0.8 share none once in 10,000 pairs, more similar
 ones less often); pairs whose distances to the pivots or whose fingerprints differ by more than ``RADIUS`` bits are discarded;
-the sets of the survivors are compared exactly.
+the survivors' sets are compared whole, by 64-bit hashes of their shingles.
 
 A key's rows are never paired all with all. First each is compared with the key's smallest id; that forms components. Rows of
 keys that still hold several components are then filed under their rarest shingles (``prefix_pairs``), where any two similar
@@ -19,6 +19,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from functools import lru_cache, partial
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import text_bytes, written
-from .simhash import PIVOTS, components, majority, shingles
+from .simhash import PIVOTS, components, majority
 
 WIDTH, BANDS, ROWS, RADIUS, SEED = 5, 24, 5, 26, 7
 RARITY_BITS = 18
@@ -35,14 +36,25 @@ _A = np.array([xxhash.xxh64_intdigest(b"factor %d" % i, SEED) | 1 for i in range
 _C = np.array([xxhash.xxh64_intdigest(b"mask %d" % i, SEED) for i in range(BANDS * ROWS)], np.uint64)
 
 
-def sketch(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """(fingerprints, keys): of each text's distinct shingles; keys has a row of BANDS a text, meaningless where there are no words."""
-    digest = partial(xxhash.xxh64_intdigest, seed=SEED)
-    hashes = [np.unique(np.fromiter(map(digest, s), np.uint64, len(s))) for s in (shingles(t, WIDTH) for t in texts)]
+def word_list(text: bytes) -> list[bytes]:
+    return text.lower().split()
+
+
+def shingle_hashes(words: list[bytes]) -> np.ndarray:
+    """The distinct shingles' XXH64, ascending. Shingles are made one at a time: a very long text costs its words and eight bytes a shingle."""
+    if len(words) <= WIDTH:
+        made, n = iter([b" ".join(words)] if words else []), min(1, len(words))
+    else:
+        made, n = map(b" ".join, zip(*(islice(words, i, None) for i in range(WIDTH)), strict=False)), len(words) - WIDTH + 1
+    return np.unique(np.fromiter(map(partial(xxhash.xxh64_intdigest, seed=SEED), made), np.uint64, n))
+
+
+def sketch(hashes: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """(fingerprints, keys) of texts given by their shingles' hashes; keys has a row of BANDS a text, meaningless where there are none."""
     sizes = np.array([len(h) for h in hashes], np.int64)
-    keys = np.zeros((len(texts), BANDS), np.uint64)
+    keys = np.zeros((len(hashes), BANDS), np.uint64)
     if not sizes.sum():
-        return np.zeros(len(texts), np.uint64), keys
+        return np.zeros(len(hashes), np.uint64), keys
     flat, full = np.concatenate(hashes), np.flatnonzero(sizes)
     starts = (np.cumsum(sizes) - sizes)[full]
     for i in range(BANDS * ROWS):
@@ -52,8 +64,9 @@ def sketch(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return majority(flat, sizes), keys
 
 
-def similar(one: frozenset[bytes], other: frozenset[bytes]) -> bool:
-    both = len(one & other)
+def similar(one: np.ndarray, other: np.ndarray) -> bool:
+    """Of two texts' distinct hashes."""
+    both = len(np.intersect1d(one, other, assume_unique=True))
     return 5 * both >= 4 * (len(one) + len(other) - both)
 
 
@@ -63,12 +76,13 @@ def sketches(docs: DataFrame, text: str, key: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 128):
-                part = batch.slice(at, 128)
-                texts = part.column(1).to_pylist()
-                words = [t.lower().split() for t in texts]
-                fps, keys = sketch(texts)
-                listed = pa.array([k if w else None for k, w in zip(keys.view(np.int64).tolist(), words, strict=True)], pa.list_(pa.int64()))
-                same = [hashlib.md5(b" ".join(w)).digest() for w in words]
+                part, hashes, same = batch.slice(at, 128), [], []
+                for text in part.column(1):
+                    words = word_list(text.as_py())
+                    same.append(hashlib.md5(b" ".join(words)).digest())
+                    hashes.append(shingle_hashes(words))
+                fps, keys = sketch(hashes)
+                listed = pa.array([k if len(h) else None for k, h in zip(keys.view(np.int64).tolist(), hashes, strict=True)], pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(same, pa.binary()), pa.array(fps.view(np.int64)), listed], ["doc_id", "same", "fp", "keys"])
 
     named = docs.where(F.col(key).isNotNull()).select(F.col(key).alias("doc_id"), text_bytes(F.col(text)).alias("text"))
@@ -94,7 +108,7 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """Of pairs (a, b) those whose texts are similar; ``texts``: doc_id, text as bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sets = lru_cache(64)(lambda text: frozenset(shingles(text, WIDTH)))  # one side often repeats
+        sets = lru_cache(8)(lambda text: shingle_hashes(word_list(text)))  # one side often repeats
         for batch in batches:
             good = [similar(sets(batch.column(2)[i].as_py()), sets(batch.column(3)[i].as_py())) for i in range(batch.num_rows)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(good, pa.bool_()))
@@ -114,14 +128,13 @@ def prefix_pairs(left: DataFrame, texts: DataFrame) -> DataFrame:
     the hash, a table of fixed size; whatever it says, no similar pair is lost.
     """
     kind = left.schema["doc_id"].dataType.simpleString()
-    digest = partial(xxhash.xxh64_intdigest, seed=SEED)
     shift = np.uint64(64 - RARITY_BITS)
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                sets = [np.unique(np.fromiter(map(digest, s), np.uint64, len(s))).tobytes() for s in (shingles(t.as_py(), WIDTH) for t in part.column(3))]
+                sets = [shingle_hashes(word_list(t.as_py())).tobytes() for t in part.column(3)]
                 yield pa.RecordBatch.from_arrays([*part.columns[:3], pa.array(sets, pa.binary())], ["doc_id", "fp", "at", "hashes"])
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -150,8 +163,8 @@ def prefix_pairs(left: DataFrame, texts: DataFrame) -> DataFrame:
                 keys = np.concatenate([*first, np.empty(0, np.uint64)]).view(np.int64)
                 rows = np.repeat(np.arange(len(sizes)), lengths)
                 rest = sizes[rows] - (np.arange(len(rows)) - np.repeat(np.cumsum(lengths) - lengths, lengths))
-                columns = part.take(pa.array(rows))
-                yield pa.RecordBatch.from_arrays([*columns.columns[:3], pa.array(keys), pa.array(sizes[rows]), pa.array(rest)], ["doc_id", "fp", "at", "key", "n", "rest"])
+                named = part.select([0, 1, 2]).take(pa.array(rows))  # without the hashes: they would come once a key
+                yield pa.RecordBatch.from_arrays([*named.columns, pa.array(keys), pa.array(sizes[rows]), pa.array(rest)], ["doc_id", "fp", "at", "key", "n", "rest"])
 
     made = sets.mapInArrow(filed, f"doc_id {kind}, fp long, at {kind}, key long, n long, rest long")
     # One table for both sides, so that it is computed and shuffled once.
