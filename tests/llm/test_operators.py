@@ -185,6 +185,21 @@ def test_neighbours(spark, monkeypatch):
     assert neighbours.search(vectors.limit(0), F.col("id") % 20 == 0).count() == 0
 
 
+def test_neighbours_where_most_lists_would_be_skipped(spark, monkeypatch):
+    v = np.random.default_rng(8).standard_normal((6_000, 32)).astype(np.float32)  # no structure: neighbours lie in many lists
+    vectors = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<float>").repartition(4)
+    for name, value in (("LEAST_FOUND", 1), ("ROWS_A_LIST", 16), ("LIST_ROWS", 700)):
+        monkeypatch.setattr(neighbours, name, value)
+    found = {}
+    for r in neighbours.search(vectors, F.col("id") % 20 == 0).collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    scores = v[::20].astype(float) @ v.astype(float).T
+    scores[np.arange(300), np.arange(0, 6_000, 20)] = -np.inf
+    best = np.argsort(-scores, axis=1)[:, :20]
+    hits = sum(len(found[20 * i] & set(row.tolist())) for i, row in enumerate(best))
+    assert hits >= 0.95 * 20 * 300 and all(len(f) == 20 for f in found.values())
+
+
 # --- 7
 
 

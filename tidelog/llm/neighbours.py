@@ -7,10 +7,16 @@ distance, by a test of significance ``EPSILON``, can't belong to one below the t
 exactly: the inner product of the original vectors in double precision, ties to the smaller id.
 
 Lists come from k-means on a bounded sample (``SAMPLE`` vectors); every vector is indexed. Equal vectors are one entry with
-its TOP + 1 smallest ids (no query can be answered with more of them). A list of more than ``LIST_ROWS`` entries is dealt
-over several tasks, all of which are searched. A query probes its ``PROBES`` nearest lists, and further ones until they hold
-``LEAST_FOUND`` entries. Vectors that are null, zero, hold null or non-finite components, or have another length than most, and rows
-without an id, take no part.
+its TOP + 1 smallest ids (no query can be answered with more of them). Lists are searched in groups of up to ``LIST_ROWS``
+entries; a list of more is dealt over several tasks, all of which are searched.
+
+How many lists a query probes is found on the indexed table: the true neighbours of ``CALIBRATING`` of the queries are made by
+brute force over all entries, and each query then probes so many of its nearest lists that those hold the share ``RECALL`` of
+them (``PROBES`` lists at least, and further ones until they hold ``LEAST_FOUND`` entries). Where vectors have little
+structure that is most of the lists, and the work a query grows with the table.
+
+Vectors that are null, zero, hold null or non-finite components, or have another length than most, and rows without an id,
+take no part.
 """
 
 from __future__ import annotations
@@ -27,6 +33,7 @@ from .common import written
 TOP, SAMPLE, ROUNDS, SEED = 20, 20_000, 6, 7
 ROWS_A_LIST, MAX_LISTS, LIST_ROWS = 256, 4_096, 4_096
 PROBES, LEAST_FOUND, BLOCK, EPSILON = 48, 2_000, 16, 2.1
+RECALL, CALIBRATING = 0.98, 256
 
 
 def usable(vectors: DataFrame, vector: str, key: str) -> DataFrame:
@@ -105,6 +112,49 @@ def adaptive_scan(points: np.ndarray, query: np.ndarray, keep: int) -> np.ndarra
     return alive
 
 
+def grouped(sizes: dict[int, int]) -> tuple[dict[int, int], dict[int, int]]:
+    """(group of each list, parts of each group): lists of at most LIST_ROWS entries together, larger ones alone in parts."""
+    group, parts, held = {}, {}, LIST_ROWS
+    for at, n in sorted(sizes.items()):
+        held += n
+        if held > LIST_ROWS:
+            parts[len(parts)], held = -(-n // LIST_ROWS), n
+        group[at] = len(parts) - 1
+    return group, parts
+
+
+def probes_needed(index: DataFrame, sample: list, space: Space, sizes: dict[int, int], top: int) -> int:
+    """How many of their nearest lists hold RECALL of the true neighbours of the queries ``sample`` (id, v), by brute force over ``index``."""
+    if not sample:
+        return 1
+    asked, queries = np.asarray([r["id"] for r in sample], np.int64), np.asarray([r["v"] for r in sample])
+    shared = index.sparkSession.sparkContext.broadcast((asked, queries))
+
+    def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        asked, queries = shared.value
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            scores, lists, ids = matrix(batch.column(1)) @ queries.T, batch.column(0).to_numpy(), batch.column(2)
+            most = min(top + 1, len(scores))
+            best = np.argpartition(-scores, most - 1, axis=0)[:most]
+            out = [(q, vec, scores[b, i], lists[b]) for i, q in enumerate(asked.tolist()) for b in best[:, i].tolist() for vec in ids[b].as_py() if vec != q]
+            columns = list(zip(*out, strict=True)) or [(), (), (), ()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.float64(), pa.int32()), strict=True)], ["query_id", "vec_id", "score", "list"])
+
+    rank = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    true = index.select("list", "v", "ids").mapInArrow(nearest, "query_id long, vec_id long, score double, list int")
+    true = true.withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= top).groupBy("query_id", "list").count().collect()
+    size = np.asarray([sizes.get(i, 0) for i in range(len(space.centres))])
+    place, hits = {}, np.zeros(len(size))
+    for q, far in zip(asked.tolist(), space.distances(space.queries(queries), space.centres), strict=True):
+        order = np.argsort(far, kind="stable")
+        place[q] = {at: n for n, at in enumerate(order[size[order] > 0].tolist())}
+    for r in true:
+        hits[place[r["query_id"]][r["list"]]] += r["count"]
+    return int(np.searchsorted(np.cumsum(hits), RECALL * hits.sum())) + 1
+
+
 def search(vectors: DataFrame, query_rows, vector: str = "embedding", key: str = "vec_id", top: int = TOP) -> DataFrame:
     """query_id, rank, vec_id, score: for the rows where ``query_rows`` (a condition on ``id``) holds their ``top`` nearest others found."""
     spark = vectors.sparkSession
@@ -131,39 +181,51 @@ def search(vectors: DataFrame, query_rows, vector: str = "embedding", key: str =
 
     index = written(table.mapInArrow(file, "list int, v array<double>, ids array<long>"), "lists")
     sizes = {r["list"]: r["count"] for r in index.groupBy("list").count().collect()}
-    parts = {i: -(-n // LIST_ROWS) for i, n in sizes.items()}
-    counted = spark.sparkContext.broadcast((sizes, parts))
+    group, parts = grouped(sizes)
+    asking = rows.where(query_rows).select("id", "v")
+    some = asking.withColumn("h", F.xxhash64("id", "v")).orderBy("h").limit(CALIBRATING).collect()
+    probed = max(PROBES, probes_needed(index, some, space, sizes, top))
+    counted = spark.sparkContext.broadcast((sizes, group, parts))
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        space, (sizes, parts) = opened(), counted.value
+        space, (sizes, group, parts) = opened(), counted.value
         size = np.asarray([sizes.get(i, 0) for i in range(len(space.centres))])
         for batch in batches:
             if not batch.num_rows:
                 continue
             far = space.distances(space.queries(matrix(batch.column(1))), space.centres)
-            rows, lists, part = [], [], []
+            rows, groups, part, lists = [], [], [], []
             for i, near in enumerate(np.argsort(far, axis=1, kind="stable")):
                 near = near[size[near] > 0]
                 enough = int(np.searchsorted(np.cumsum(size[near]), LEAST_FOUND)) + 1
-                for at in near[: max(PROBES, enough)].tolist():
-                    for p in range(parts[at]):
+                by: dict[int, list[int]] = {}
+                for at in near[: max(probed, enough)].tolist():
+                    by.setdefault(group[at], []).append(at)
+                for g, some in by.items():
+                    for p in range(parts[g]):
                         rows.append(i)
-                        lists.append(at)
+                        groups.append(g)
                         part.append(p)
+                        lists.append(some)
             taken = pa.array(rows, pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(lists, pa.int32()), pa.array(part, pa.int32()), batch.column(0).take(taken), batch.column(1).take(taken)], ["list", "part", "id", "v"])
+            yield pa.RecordBatch.from_arrays([pa.array(groups, pa.int32()), pa.array(part, pa.int32()), batch.column(0).take(taken), batch.column(1).take(taken), pa.array(lists, pa.list_(pa.int32()))], ["group", "part", "id", "v", "lists"])
 
-    probes = rows.where(query_rows).select("id", "v").mapInArrow(probe, "list int, part int, id long, v array<double>")
+    probes = asking.mapInArrow(probe, "group int, part int, id long, v array<double>, lists array<int>")
 
     def scan(held: pa.Table, asked: pa.Table) -> pa.Table:
         out: list[tuple[np.ndarray, ...]] = []
         if held.num_rows and asked.num_rows:
             space = opened()
             v, q = matrix(held.column("v").combine_chunks()), matrix(asked.column("v").combine_chunks())
-            ids = held.column("ids").to_pylist()
+            order = np.argsort(held.column("list").to_numpy(), kind="stable")
+            v, ids = v[order], held.column("ids").combine_chunks().take(pa.array(order)).to_pylist()
             points, turned = space.points(v), space.queries(q)
+            names, counts = np.unique(held.column("list").to_numpy(), return_counts=True)
+            rows_of = {at: np.arange(end - n, end) for at, n, end in zip(names.tolist(), counts, np.cumsum(counts), strict=True)}
+            lists = asked.column("lists").to_pylist()
             for i, query in enumerate(asked.column("id").to_pylist()):
-                near = adaptive_scan(points, turned[i], top + 1)
+                some = np.concatenate([rows_of[at] for at in lists[i] if at in rows_of])  # the nearest list first: its bound is the best
+                near = some[adaptive_scan(points[some], turned[i], top + 1)]
                 scores = (v[near] * q[i]).sum(1)
                 best = np.argsort(-scores, kind="stable")[: top + 1 + int((scores == np.sort(scores)[::-1][min(top, len(scores) - 1)]).sum())]
                 found = [(-scores[b], vec) for b in best for vec in ids[near[b]] if vec != query]
@@ -172,8 +234,8 @@ def search(vectors: DataFrame, query_rows, vector: str = "embedding", key: str =
         columns = [np.concatenate(c) for c in zip(*out, strict=True)] or [np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)]
         return pa.table({"query_id": columns[0], "vec_id": columns[1], "score": columns[2]})
 
-    part_of = F.create_map(*[F.lit(x) for i, n in sorted(parts.items()) if n > 1 for x in (i, n)]) if any(n > 1 for n in parts.values()) else F.create_map(F.lit(-1), F.lit(1))
-    dealt = index.withColumn("part", F.pmod(F.xxhash64("v"), F.coalesce(F.try_element_at(part_of, F.col("list")), F.lit(1))).cast("int"))
-    found = dealt.groupBy("list", "part").cogroup(probes.groupBy("list", "part")).applyInArrow(scan, "query_id long, vec_id long, score double")
+    places = spark.createDataFrame([(at, g, parts[g]) for at, g in group.items()], "list int, group int, parts int")
+    dealt = index.join(F.broadcast(places), "list").select("group", F.pmod(F.xxhash64("v"), F.col("parts")).cast("int").alias("part"), "list", "v", "ids")
+    found = dealt.groupBy("group", "part").cogroup(probes.groupBy("group", "part")).applyInArrow(scan, "query_id long, vec_id long, score double")
     rank = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= top).select("query_id", "rank", "vec_id", "score")
