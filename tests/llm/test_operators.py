@@ -352,6 +352,18 @@ def test_toxicity(spark, odd):
     assert toxicity.drop_toxic(odd, labels.limit(0)).count() == odd.count() and toxicity.predict(odd.limit(0), chain).count() == 0
 
 
+def test_toxic_stems_by_language(spark):
+    """Held-out recall a language, where toxic words share stems but seldom repeat."""
+    docs, labels = spark.read.parquet("/root/testdata/sf0.1/documents.parquet"), spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    part = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3
+    chain = toxicity.train(docs, labels.where(part != 0))
+    held = labels.where(part == 0).join(docs.select("doc_id", "text", "lang"), "doc_id")
+    rows = toxicity.predict(held, chain).join(held.select("doc_id", "lang", F.col("toxic").alias("y")), "doc_id").collect()
+    for lang in ("en", "fr", "de", "es"):
+        bad, clean = ([r.toxic for r in rows if r.lang == lang and r.y == y] for y in (1, 0))
+        assert len(bad) >= 5 and sum(bad) >= 0.8 * len(bad) and sum(clean) <= 0.03 * len(clean), lang
+
+
 # --- 10
 
 
