@@ -4,7 +4,9 @@ Token weights are added up by cell (source, language, topic). Every marginal's t
 power ``TEMPERATURE``, normalised, so that small sources, languages and topics get more than their share; other targets can
 be given. Raking multiplies the cells' weights so that one marginal after the other fits, ``ROUNDS`` times. A document is
 kept with probability min(1, rate * raked weight / natural weight of its cell), decided by a hash of its id: the same on
-every run and every executor, and copies of an id stay or go together.
+every run and every executor, and copies of an id stay or go together. What is cut off at 1 goes nowhere else: where cells
+saturate, the sample misses the targets that raking met, rare categories by most. Only at a rate of at most
+1 / (the largest raked / natural weight) does it meet them.
 
 Null sources and languages are the category ''. A null text has no tokens. Cells without tokens carry no weight and are
 sampled at the plain rate. Cells are few against documents; up to ``ONE_TASK`` of them are raked without shuffles, more by
