@@ -25,7 +25,7 @@ def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies (five-word shingles, similarity 0.8 or more, by SimHash and pivots) the smallest id stays."""
+    """Of each group of near copies (five-word shingles, similarity 0.8 or more, by MinHash bands and prefixes) the smallest id stays."""
     return near_copies.keep_representatives(docs)
 
 

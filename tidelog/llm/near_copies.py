@@ -1,9 +1,9 @@
-"""Near copies by whole-text similarity: five-word shingle sets with a Jaccard similarity of 0.8 or more, by SimHash and pivots.
+"""Near copies by whole-text similarity: five-word shingle sets with a Jaccard similarity of 0.8 or more, by MinHash bands and prefixes.
 
 Such texts differ in about ten of a 64-bit SimHash's bits, which no key over fingerprints alone can reach. So candidates
 share one of ``BANDS`` keys of ``ROWS`` shingle minima (two texts at exactly 0.8 share none once in 10,000 pairs, more similar
-ones less often); pairs whose distances to the pivots or whose fingerprints differ by more than ``RADIUS`` bits are discarded;
-the survivors' sets are compared whole, by 64-bit hashes of their shingles.
+ones less often); pairs whose fingerprints differ by more than ``RADIUS`` bits are discarded (the distances to the pivots are
+compared before, but at this radius that bound prunes next to nothing); the survivors' sets are compared whole, by 64-bit hashes of their shingles.
 
 A key's rows are never paired all with all. First each is compared with the key's smallest id; that forms components. Rows of
 keys that still hold several components are then filed under their rarest shingles (``prefix_pairs``), where any two similar
