@@ -1,10 +1,10 @@
-"""Benchmark decontamination with a distributed positional inverted index, in DataFrame operations only.
+"""Benchmark decontamination with a distributed positional index by document, in DataFrame operations only.
 
 ``build_index`` reads the training texts once and stores, per document, the postings (position, term) of every term that
-the benchmark has: an inverted index that is partitioned by document. ``find_phrases`` counts each term's postings, takes
-of every benchmark window its rarest term as anchor, and reads only the postings of anchors, each with the lists of the
-other terms around it shifted by their offsets. The lists are intersected outwards from the anchor, so a posting is
-abandoned at the first term that is missing. ``find_near`` answers proximity queries from the same index.
+the benchmark has, in word order: a forward index, without lists by term. ``find_phrases`` counts each term's postings, takes
+of every benchmark window its rarest term as anchor, and reads only the postings of anchors, each with the document's other
+postings around it. These are compared outwards from the anchor, so a posting is abandoned at the first term that is
+missing. ``find_near`` answers proximity queries from the same index.
 
 A window is ``width`` consecutive words of an item; an item with fewer words, but not none, is one window. Words are taken
 from the text with A-Z lower-cased; a null text has none. Items that repeat an id count once. Up to ``MAX_TERMS`` benchmark
