@@ -5,6 +5,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -135,6 +136,52 @@ def test_tokens_round_trip(spark, odd):
     assert tokens_orc.encode_documents(odd.limit(0), queries.tokenizer_path()).count() == 0
 
 
+def test_encoder_forgets_and_learns_again():
+    from tokenizers import Tokenizer
+
+    plain, mine = Tokenizer.from_file(queries.tokenizer_path()), tokens_orc.WordEncoder(queries.tokenizer_path())
+    texts = ["don't 'S 'll''re l'\u00e9t\u00e9 o'reilly's \"'s '' x", "a\tb\x0bc\x0cd  e", "caf\u00e9\u00b2 \u00bd a\x1cb <|endoftext|> c", "\u0153uvre \u2013 \u201cq\u201d \u65e5\u672c e\u0301", "", " \n", "\u00c0\u00d6\u00d8\u00f6\u00ff\u00df\u00d7\u00f7", "1a2b 33\x00\x7f\u0085 \u0301x"]
+    for size in (1, 3, len(texts)):
+        for at in range(0, len(texts), size):
+            mine.old, mine.new = mine.new, {"": b""}  # as if the newer generation were full
+            for text, ids in zip(texts[at : at + size], mine.encode(pa.array(texts[at : at + size])), strict=True):
+                assert np.frombuffer(ids, mine.kind).tolist() == plain.encode(text, add_special_tokens=False).ids
+
+
+def scanned(frame):
+    """(files read, rows that the scan handed on) of a frame over one scan."""
+    plan = frame._jdf.queryExecution().executedPlan()
+    frame.sparkSession.sparkContext._jvm.org.apache.spark.sql.execution.SparkPlan  # the plan's metrics are filled by this very plan
+    plan.executeCollect()
+    leaf = plan.collectLeaves().apply(0)
+    return leaf.metrics().apply("numFiles").value(), leaf.metrics().apply("numOutputRows").value()
+
+
+def test_reading_some_ids_skips_files_and_row_groups(spark, tmp_path):
+    from pyarrow import orc
+
+    docs = spark.range(0, 200_000, 2).select(F.col("id").alias("doc_id"), F.concat_ws(" ", F.lit("some words"), F.col("id").cast("string")).alias("text"))
+    path = str(tmp_path / "t")
+    tokens_orc.write_tokens(docs.orderBy(F.xxhash64("doc_id")), path, queries.tokenizer_path(), files=4, stripe_bytes=1 << 14)
+    files = sorted(tmp_path.glob("t/*.orc"))
+    assert len(files) == 4 and all(orc.ORCFile(f).nstripes > 1 for f in files)
+    read = tokens_orc.read_tokens(spark, path)
+    for found, most in ((read.where("doc_id = 24680"), 1_024), (read.where("doc_id = 24681"), 0), (read.where("doc_id in (2, 199998)"), 2_048)):
+        rows = scanned(found.select("doc_id", "n_tokens"))[1]
+        assert rows <= most, rows  # row indexes leave one group of 1,000 rows; the odd id is in range but in no Bloom filter
+    assert [r.doc_id for r in read.where("doc_id = 24680").collect()] == [24680]
+    # Stripes are read one by one, each on its own, and give the file's rows in order.
+    one = orc.ORCFile(files[1])
+    ids = [i for n in range(one.nstripes) for i in one.read_stripe(n, columns=["doc_id"]).column(0).to_pylist()]
+    assert ids == sorted(ids) and len(ids) == one.nrows
+    # And Spark deals a file's stripes over tasks.
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        assert tokens_orc.read_tokens(spark, path).rdd.getNumPartitions() > 4
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 # --- 5
 
 

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
+import types
 import uuid
+from collections.abc import Callable
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,6 +49,16 @@ def drop_path(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def held(name: str, make: Callable[[], Any]) -> Any:
+    """``make()``'s result, made once a Python process and kept for its later tasks: functions travel by value, so a global of theirs lives for one task only. Only the last few names are kept."""
+    state = sys.modules.setdefault("tidelog_worker_state", types.ModuleType("tidelog_worker_state")).__dict__.setdefault("held", {})
+    if name not in state:
+        while len(state) >= 4:
+            state.pop(next(iter(state)))
+        state[name] = make()
+    return state[name]
+
+
 def text_bytes(column) -> F.Column:
     """The text's UTF-8 bytes; null counts as empty."""
     return F.encode(F.coalesce(column, F.lit("")), "UTF-8")
