@@ -70,3 +70,33 @@ def close_to(a: Column, b: Column, eps: float = 0.005) -> Column:
 def net(kind_column: Column) -> Column:
     """+1 for rows that add, -1 for rows that take away; summed it is the number of live rows."""
     return F.when(kind_column.isin(UPDATE_BEFORE, DELETE), -1).otherwise(1)
+
+
+def fnv1a32(data: bytes) -> int:
+    """The 32-bit FNV-1a hash."""
+    found = 0x811C9DC5
+    for byte in data:
+        found = (found ^ byte) * 0x01000193 & 0xFFFFFFFF
+    return found
+
+
+def fnv1a32_column(text: Column) -> Column:
+    """The same of a text's UTF-8 bytes, as a long."""
+    digits = F.hex(F.encode(text, "UTF-8"))
+    byte = lambda i: F.conv(F.substring(digits, 2 * i - 1, F.lit(2)), 16, 10).cast("long")
+    places = F.when(F.length(digits) > 0, F.sequence(F.lit(1), (F.length(digits) / 2).cast("int"))).otherwise(F.array().cast("array<int>"))
+    return F.aggregate(places, F.lit(0x811C9DC5).cast("long"), lambda h, i: (h.bitwiseXOR(byte(i)) * F.lit(0x01000193).cast("long")).bitwiseAND(F.lit(0xFFFFFFFF).cast("long")))
+
+
+def to_text(value: Column, nested: bool = False) -> Column:
+    """Any value as text: nested ones as JSON, binary as hexadecimal digits after ``\\x``, the others as a cast writes them."""
+    return F.to_json(value) if nested else value.cast("string")
+
+
+def binary_text(value: Column) -> Column:
+    return F.concat(F.lit("\\x"), F.lower(F.hex(value)))
+
+
+def to_number(value: Column) -> Column:
+    """A number of whatever numeric or text type as double; null where it is none."""
+    return value.cast("string").try_cast("double")

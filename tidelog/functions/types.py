@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Column
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # The wire codes.
@@ -37,3 +39,14 @@ def lake_type(kind: T.DataType, nullable: bool = True) -> str:
     else:
         name = next((n for n, t in _SIMPLE.values() if t == kind), kind.simpleString().upper())
     return name if nullable else f"{name} NOT NULL"
+
+
+def typmod_column(precision: Column, scale: Column) -> Column:
+    return F.shiftleft(precision.cast("int"), 16).bitwiseOR(scale.cast("int"))
+
+
+def typmod_parts(typmod: Column) -> tuple[Column, Column]:
+    """(precision, scale) as ``unpack_typmod`` has them."""
+    precision, scale = F.shiftright(typmod, 16), typmod.bitwiseAND(F.lit(0xFFFF))
+    fits = (typmod > 0) & (precision > 0) & (precision <= 38) & (scale <= precision)
+    return F.when(fits, precision).otherwise(DEFAULT_PRECISION), F.when(fits, scale).otherwise(DEFAULT_SCALE)

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidelog.functions.kinds import DELETE, INSERT, KIND, SEQ, UPDATE_AFTER, UPDATE_BEFORE, compose_seq, kind
+from tidelog.functions.kinds import DELETE, INSERT, KIND, SEQ, UPDATE_AFTER, UPDATE_BEFORE, compose_seq, compose_tid, kind
 
 
 def inserts(rows: DataFrame) -> DataFrame:
@@ -63,14 +63,21 @@ def sequenced(changes: DataFrame, xid: Column, order: list[Column]) -> DataFrame
     return numbered.withColumn(SEQ, compose_seq(F.col("_xid"), op)).drop("_xid")
 
 
-def with_metadata(changes: DataFrame, xid: str | None = None, op: str | None = None) -> DataFrame:
-    """The optional transaction and operation columns, under the names given."""
-    for name, value in ((xid, F.shiftrightunsigned(SEQ, 32)), (op, F.col(SEQ).bitwiseAND(F.lit(0xFFFFFFFF)))):
+def with_metadata(changes: DataFrame, xid: str | None = None, op: str | None = None, tid: str | None = None, seq: str = SEQ) -> DataFrame:
+    """The optional transaction, operation and row-id columns, under the names given. The row id is taken from ``_tid``, 0 without one."""
+    row = F.coalesce(F.col("_tid").cast("long"), F.lit(0)) if "_tid" in changes.columns else F.lit(0).cast("long")
+    for name, value in ((xid, F.shiftrightunsigned(seq, 32)), (op, F.col(seq).bitwiseAND(F.lit(0xFFFFFFFF))), (tid, row)):
         if name:
             changes = changes.withColumn(name, value)
     return changes
 
 
+def with_row_ids(rows: DataFrame) -> DataFrame:
+    """``_tid``: block and offset (65,536 rows a block) of each row within its Parquet file. ``rows`` must be a plain scan."""
+    place = F.col("_metadata.row_index")
+    return rows.select("*", compose_tid(F.shiftright(place, 16), place.bitwiseAND(F.lit(0xFFFF))).alias("_tid"))
+
+
 def committed(changes: DataFrame, transactions: DataFrame, txn: str) -> DataFrame:
     """Rows of transactions that committed; ``transactions`` has (txn, committed)."""
     return changes.join(transactions.where("committed").select(txn), txn, "left_semi")

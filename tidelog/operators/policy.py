@@ -43,3 +43,8 @@ def overload(messages: DataFrame, order: list[Column], by: list[str], size: Colu
     """Messages of a burst that nobody reads: those that end beyond the capacity would have been dropped by a bounded buffer."""
     used = F.sum(size).over(Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
     return messages.withColumn("used", used).withColumn("over", F.col("used") > capacity)
+
+
+def drop_report(marked: DataFrame, size: Column, by: list[str] | None = None) -> DataFrame:
+    """Of ``overload``'s rows by ``by``: messages, those a bounded buffer would have dropped, and their bytes."""
+    return marked.groupBy(*(by or [])).agg(F.count("*").alias("n"), F.count_if("over").alias("dropped"), F.coalesce(F.sum(F.when(F.col("over"), size)), F.lit(0)).cast("long").alias("dropped_bytes"))

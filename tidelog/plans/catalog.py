@@ -36,8 +36,12 @@ _ROOTS: dict[int, str] = {}
 
 
 def warehouse(spark: SparkSession) -> Catalog:
-    """A warehouse below the cluster's shared folder; a temporary one where none is set."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or _ROOTS.setdefault(0, tempfile.mkdtemp(prefix="tidelog-"))
+    """A warehouse below the cluster's shared folder. Only a local session may do without: it gets a temporary one."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        root = _ROOTS.setdefault(0, tempfile.mkdtemp(prefix="tidelog-"))
     return Catalog(spark, f"{root.rstrip('/')}/warehouse-{uuid.uuid4().hex}")
 
 
@@ -242,19 +246,21 @@ def t10_flush_by_count(spark, sf_dir):
     return table(spark, sf_dir, "events").groupBy(policy.batch_by_count(txn).alias("batch")).agg(F.count("*").alias("n"))
 
 
-@query("SELECT l_orderkey % 16 AS task, file_no, count(*) AS n FROM (SELECT l_orderkey, CAST(floor((row_number() OVER (PARTITION BY l_orderkey % 16 ORDER BY l_orderkey, l_linenumber, l_shipdate, l_partkey, l_suppkey, l_extendedprice) - 1) / 1000) AS BIGINT) AS file_no FROM lineitem) GROUP BY ALL")
+@query("SELECT task, file_no, count(*) AS n FROM (SELECT l_orderkey // 1024 AS task, CAST(floor((row_number() OVER (PARTITION BY l_orderkey // 1024 ORDER BY l_orderkey, l_linenumber, l_shipdate, l_partkey, l_suppkey, l_extendedprice) - 1) / 1000) AS BIGINT) AS file_no FROM lineitem) GROUP BY ALL")
 def t12_rowgroup(spark, sf_dir):
-    lines = table(spark, sf_dir, "lineitem").withColumn("task", F.col("l_orderkey") % 16)
+    """A task is a range of keys of fixed width: there are more of them, not larger ones, as the table grows."""
+    lines = table(spark, sf_dir, "lineitem").withColumn("task", F.floor(F.col("l_orderkey") / 1024).cast("long"))
     order = [F.col(c) for c in ("l_orderkey", "l_linenumber", "l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice")]
     return policy.batch_by_rows(lines, order, ["task"], 1000).groupBy("task", "file_no").agg(F.count("*").alias("n"))
 
 
-@query("""WITH RECURSIVE e AS (SELECT event_type, ts, row_number() OVER (PARTITION BY event_type ORDER BY ts) AS i FROM events),
-f AS (SELECT event_type, i, ts AS last, CAST(0 AS BIGINT) AS n FROM e WHERE i = 1
- UNION ALL SELECT e.event_type, e.i, CASE WHEN e.ts - f.last >= INTERVAL 6 HOUR THEN e.ts ELSE f.last END, f.n + CASE WHEN e.ts - f.last >= INTERVAL 6 HOUR THEN 1 ELSE 0 END FROM f JOIN e ON e.event_type = f.event_type AND e.i = f.i + 1)
-SELECT event_type, max(n) AS flushes FROM f GROUP BY 1""")
+@query("""WITH RECURSIVE e AS (SELECT event_type, CAST(ts AS DATE) AS day, ts, row_number() OVER (PARTITION BY event_type, CAST(ts AS DATE) ORDER BY ts) AS i FROM events),
+f AS (SELECT event_type, day, i, ts AS last, CAST(0 AS BIGINT) AS n FROM e WHERE i = 1
+ UNION ALL SELECT e.event_type, e.day, e.i, CASE WHEN e.ts - f.last >= INTERVAL 1 HOUR THEN e.ts ELSE f.last END, f.n + CASE WHEN e.ts - f.last >= INTERVAL 1 HOUR THEN 1 ELSE 0 END FROM f JOIN e ON e.event_type = f.event_type AND e.day = f.day AND e.i = f.i + 1)
+SELECT event_type, day, max(n) AS flushes FROM f GROUP BY 1, 2""")
 def t11_flush_by_age(spark, sf_dir):
-    return policy.flushes_by_age(table(spark, sf_dir, "events"), ["event_type"], "ts", 6 * 3600)
+    """By day: a group is one table's commits of a day."""
+    return policy.flushes_by_age(table(spark, sf_dir, "events").withColumn("day", F.col("ts").cast("date")), ["event_type", "day"], "ts", 3600)
 
 
 @query("SELECT user_id, count(*) AS n, count_if(used > 2000) AS dropped FROM (SELECT user_id, sum(length(props)) OVER (PARTITION BY user_id ORDER BY event_id) AS used FROM events) GROUP BY 1")
@@ -329,7 +335,7 @@ def _orders_table(spark: SparkSession, sf_dir: str) -> Table:
     changes = orders_cdc(spark, sf_dir)
     made = warehouse(spark).create("orders", _business(changes), ("o_orderkey",))
     for number in range(4):
-        made.append(changes.where(F.col(KIND) == number), batch=f"b{number}")
+        made.append(changes.where(F.col(KIND) == number), batch=f"load:{number}")
     return made
 
 
@@ -404,7 +410,7 @@ def e02_evolution(spark, sf_dir):
     made.rename_column("o_totalprice", "total")
     made.change_type("o_custkey", T.LongType())
     made.drop_column("o_orderpriority")
-    made.append(part(2).withColumn("note", note).withColumnRenamed("o_totalprice", "total"))
+    made.append(part(2).withColumn("note", note).withColumnRenamed("o_totalprice", "total").drop("o_orderpriority"))
     return made.live()
 
 
@@ -483,3 +489,375 @@ def t14_stream_ingest(spark, sf_dir):
     stream = ingest.change_files(spark, inbox, spark.read.parquet(inbox).schema, files_a_batch=2)
     ingest.ingest(stream, {"orders": made}, f"{catalog.warehouse}/checkpoint").awaitTermination()
     return made.live()
+
+
+# --- commits, transactions, conflicts ----------------------------------------------------------------------------------
+
+
+def _keyed(rows: DataFrame, key: str) -> DataFrame:
+    return rows.withColumn(KIND, kinds.kind(kinds.INSERT)).withColumn(SEQ, F.col(key).cast("long"))
+
+
+def _customers(spark: SparkSession, sf_dir: str, options: dict[str, str] | None = None) -> tuple[DataFrame, Table]:
+    rows = _keyed(table(spark, sf_dir, "customer"), "c_custkey")
+    return rows, warehouse(spark).create("customer", _business(rows), ("c_custkey",), options)
+
+
+def _suppliers(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Table]:
+    rows = _keyed(table(spark, sf_dir, "supplier"), "s_suppkey")
+    return rows, warehouse(spark).create("supplier", _business(rows), ("s_suppkey",))
+
+
+def _facts(spark: SparkSession, **columns) -> DataFrame:
+    """One row of driver-side facts."""
+    return spark.range(1).select(*(F.lit(v).alias(k) for k, v in columns.items()))
+
+
+@query("SELECT * FROM customer")
+def m04_compact_with_append(spark, sf_dir):
+    """Half of the rows come while the other half is being compacted; none is lost."""
+    rows, made = _customers(spark, sf_dir)
+    made.append(rows.where("c_custkey % 2 = 0"))
+    replaced = {m["manifest"] for m in made.manifests()}
+    staged = made.stage(_keyed(made.live(), "c_custkey"))
+    made.append(rows.where("c_custkey % 2 = 1"))
+    made.promote(staged, None, replaced, "COMPACT")
+    return made.live()
+
+
+@query("SELECT * FROM supplier")
+def w12_commit_race(spark, sf_dir):
+    """Four writers commit a quarter each at the same time."""
+    from multiprocessing.pool import ThreadPool
+
+    rows, made = _suppliers(spark, sf_dir)
+    with ThreadPool(4) as pool:
+        pool.map(lambda n: made.append(rows.where(F.col("s_suppkey") % 4 == n), batch=f"writer{n}:0"), range(4))
+    return made.raw().drop(KIND, SEQ)
+
+
+@query("SELECT 3 AS commits, 2 AS whole, count(*) AS n FROM supplier")
+def w12_damaged_snapshot(spark, sf_dir):
+    """A snapshot's file that a crash left cut off is passed over by readers and writers."""
+    rows, made = _suppliers(spark, sf_dir)
+    made.append(rows.where("s_suppkey % 2 = 0"))
+    made.files.create(f"{made.path}/snapshot/snapshot-1", '{"id": 1, "kind"')
+    last = made.append(rows.where("s_suppkey % 2 = 1"))
+    return made.live().agg(F.lit(last + 1).alias("commits"), F.lit(len(made.snapshots())).alias("whole"), F.count("*").alias("n"))
+
+
+@query("SELECT * FROM supplier")
+def t09_replay(spark, sf_dir):
+    """Batches 0 to 2, then all of them again and an older one: each is applied once."""
+    rows, made = _suppliers(spark, sf_dir)
+    for number in (0, 1, 2, 0, 1, 2, 1):
+        made.append(rows.where(F.col("s_suppkey") % 3 == number), batch=f"load:{number}")
+    return made.raw().drop(KIND, SEQ)
+
+
+@query("SELECT 0 AS before, count(*) AS n, TRUE AS moved FROM supplier")
+def w14_stage_and_promote(spark, sf_dir):
+    rows, made = _suppliers(spark, sf_dir)
+    staged = made.stage(rows)
+    before = made.live().count()
+    made.promote(staged)
+    return made.live().agg(F.lit(int(before)).alias("before"), F.count("*").alias("n"), F.lit(not made.files.exists(staged)).alias("moved"))
+
+
+@query("SELECT 'customer' AS name, count(*) AS n FROM customer UNION ALL SELECT 'supplier', count(*) FROM supplier WHERE s_suppkey % 2 = 0")
+def c10_transaction(spark, sf_dir):
+    """Two tables in one transaction; a second is discarded; a third crashes once it is prepared, and is recovered."""
+    from tidelog.operators.transactions import Transaction, recover
+
+    catalog = warehouse(spark)
+    parts = {n: _keyed(table(spark, sf_dir, n), k) for n, k in (("customer", "c_custkey"), ("supplier", "s_suppkey"))}
+    for n, key in (("customer", "c_custkey"), ("supplier", "s_suppkey")):
+        catalog.create(n, _business(parts[n]), (key,))
+    with Transaction(catalog, "load:0") as t:
+        t.write("customer", parts["customer"].where("c_custkey % 2 = 0"))
+        t.write("supplier", parts["supplier"].where("s_suppkey % 2 = 0"))
+    try:
+        with Transaction(catalog, "load:1") as t:
+            t.write("supplier", parts["supplier"].where("s_suppkey % 2 = 1"))
+            raise ValueError("the source's transaction was rolled back")
+    except ValueError:
+        pass
+    t = Transaction(catalog, "load:2")
+    t.write("customer", parts["customer"].where("c_custkey % 2 = 1"))
+    t.prepare()
+    recover(catalog)
+    count = lambda n: catalog.table(n).live().agg(F.lit(n).alias("name"), F.count("*").alias("n"))
+    return count("customer").unionByName(count("supplier"))
+
+
+@query("SELECT l_orderkey, l_linenumber, l_quantity, 77 AS x, l_linenumber AS op, l_orderkey * 65536 + l_linenumber AS place FROM lineitem WHERE l_orderkey <= 500 AND l_linenumber = 1")
+def c08_table_metadata(spark, sf_dir):
+    """Transaction, operation and row id as columns that the table's options name."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity").where("l_orderkey <= 500 and l_linenumber = 1")
+    rows = lines.withColumn(KIND, kinds.kind(kinds.INSERT)).withColumn(SEQ, kinds.compose_seq(F.lit(77), F.col("l_linenumber"))).withColumn("_tid", kinds.compose_tid(F.col("l_orderkey"), F.col("l_linenumber")))
+    made = warehouse(spark).create("lines", lines.schema, (), {"metadata.xid": "x", "metadata.op": "op", "metadata.tid": "place"})
+    made.append(rows)
+    made.compact()
+    found = made.raw()
+    return found.select("l_orderkey", "l_linenumber", "l_quantity", F.col("x").cast("int").alias("x"), F.col("op").cast("int").alias("op"), "place")
+
+
+@query("SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, CAST(0 AS TINYINT) AS change, c_custkey AS lsn FROM customer")
+def x_renamed_columns(spark, sf_dir):
+    """Kind and sequence under names of the table's own."""
+    rows, made = _customers(spark, sf_dir, {"sequence.field": "lsn", "rowkind.field": "change"})
+    made.append(rows.withColumnRenamed(KIND, "change").withColumnRenamed(SEQ, "lsn"))
+    made.compact()
+    return made.raw()
+
+
+@query("SELECT * FROM (VALUES (1, 's_suppkey', 'bigint'), (2, 's_name', 'string'), (3, 's_nationkey', 'int'), (4, 's_acctbal', 'double'), (32767, '_seq', 'long')) t(id, name, type)")
+def e01_first_schema(spark, sf_dir):
+    import json
+
+    _, made = _suppliers(spark, sf_dir)
+    names = {"long": "bigint", "integer": "int"}
+    fields = json.loads(made.files.read(f"{made.path}/schema/schema-0"))["fields"]
+    return spark.createDataFrame([(f["id"], f["name"], f["type"] if f["id"] == 32767 else names.get(f["type"], f["type"])) for f in fields], "id int, name string, type string")
+
+
+@query("SELECT * FROM (VALUES ('add key', TRUE), ('drop key', TRUE), ('drop key column', TRUE), ('add column not null', TRUE), ('add column twice', TRUE), ('unknown column', TRUE), ('add column', FALSE), ('no table here', FALSE)) t(change, blocked)")
+def e08_blocked_changes(spark, sf_dir):
+    from tidelog.sources.schema import SchemaError
+
+    rows, made = _suppliers(spark, sf_dir)
+    catalog = Catalog(spark, made.path.rsplit("/", 2)[0])
+    changes = {
+        "add key": lambda: made.alter(lambda s: s.with_keys(("s_suppkey", "s_name"))),
+        "drop key": lambda: made.alter(lambda s: s.with_keys(())),
+        "drop key column": lambda: made.drop_column("s_suppkey"),
+        "add column not null": lambda: made.alter(lambda s: s.add("x", T.StringType(), nullable=False)),
+        "add column twice": lambda: made.add_column("s_name", T.StringType()),
+        "unknown column": lambda: made.append(rows.withColumn("y", F.lit(1))),
+        "add column": lambda: made.add_column("x", T.StringType()),
+        "no table here": lambda: catalog.alter("elsewhere", lambda s: s.add("x", T.StringType())),
+    }
+
+    def blocked(change) -> bool:
+        try:
+            change()
+        except SchemaError:
+            return True
+        return False
+
+    return spark.createDataFrame([(name, blocked(change)) for name, change in changes.items()], "change string, blocked boolean")
+
+
+@query("SELECT * FROM (VALUES ('before', 'default.a,default.b'), ('after', 'default.c')) t(step, tables)")
+def e07_drop_and_rename(spark, sf_dir):
+    rows = table(spark, sf_dir, "region")
+    catalog = warehouse(spark)
+    for name in "ab":
+        catalog.create(name, rows.schema)
+    before = ",".join(catalog.tables())
+    catalog.drop("a")
+    catalog.rename("b", "c")
+    return spark.createDataFrame([("before", before), ("after", ",".join(catalog.tables()))], "step string, tables string")
+
+
+@query("SELECT * FROM (VALUES ('changelog-producer', 'input'), ('keep', 'yes'), ('merge-engine', 'deduplicate'), ('sequence.field', '_seq')) t(key, value)")
+def a07_options(spark, sf_dir):
+    """A table's options: those of keyed tables and the catalog's defaults."""
+    catalog = Catalog(spark, warehouse(spark).warehouse, defaults={"keep": "yes"})
+    return catalog.create("region", table(spark, sf_dir, "region").schema, ("r_regionkey",)).options_frame()
+
+
+@query("SELECT 2 AS before, 3 AS after, 2 AS files, count(*) AS n, count(*) AS footers FROM supplier")
+def p07_compaction_grows(spark, sf_dir):
+    """Snapshots before and after the compaction job over a whole warehouse; rows by footers."""
+    from tidelog.jobs import compact
+
+    rows, made = _suppliers(spark, sf_dir)
+    for number in (0, 1):
+        made.append(rows.where(F.col("s_suppkey") % 2 == number), files=1)
+    before, files = len(made.snapshots()), len(made.file_entries())
+    failed = compact(Catalog(spark, made.path.rsplit("/", 2)[0]), say=lambda _: None)
+    return made.live().agg(F.lit(before).alias("before"), F.lit(len(made.snapshots()) + failed).alias("after"), F.lit(files).alias("files"), F.count("*").alias("n"), F.lit(made.footer_rows()).cast("long").alias("footers"))
+
+
+@query(f"WITH {ORDERS} SELECT count(*) AS n, 0 AS unsorted, CAST(count_if(_row_kind IN (1, 3)) AS BIGINT) AS in_delete_files, TRUE AS skipped FROM orders_cdc")
+def w01_sorted_run_bounds(spark, sf_dir):
+    """Files are sorted by key and sequence, adds and deletes apart, and a key's look-up opens few of them."""
+    changes = orders_cdc(spark, sf_dir)
+    made = warehouse(spark).create("orders", _business(changes), ("o_orderkey",))
+    made.append(changes, files=8)
+    entries = made.file_entries()
+    kept = made.file_entries(wanted=made.may_hold({"o_orderkey": 12}))
+    rows = spark.read.parquet(*(f"{made.path}/data/{e['file']}" for e in entries)).select("o_orderkey", SEQ, "_VALUE_KIND", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("place"), F.col("_metadata.file_path").contains("_split=1").alias("split"))
+    before = lambda c: F.lag(c).over(Window.partitionBy("file", "split").orderBy("place"))
+    wrong = F.struct("o_orderkey", SEQ) < F.struct(before("o_orderkey").alias("o_orderkey"), before(SEQ).alias(SEQ))
+    told = rows.withColumn("wrong", (F.coalesce(wrong, F.lit(False)) & before("place").isNotNull()) | ((F.col("_VALUE_KIND") == 1) != F.col("split")))
+    return told.agg(F.count("*").alias("n"), F.count_if("wrong").cast("int").alias("unsorted"), F.count_if("split").alias("in_delete_files")).withColumn("skipped", F.lit(0 < len(kept) <= len(entries) // 2))
+
+
+@query(f"WITH {ORDERS} SELECT CAST(_row_kind IN (1, 3) AS BOOLEAN) AS takes_away, count(*) AS n FROM orders_cdc GROUP BY 1")
+def w05_split_counts(spark, sf_dir):
+    found = _orders_table(spark, sf_dir).files_frame()
+    return found.groupBy((F.col("deletes") > 0).alias("takes_away")).agg(F.sum("rows").alias("n"))
+
+
+@query("SELECT 70 AS commits, TRUE AS few, count(*) * 70 AS n FROM region")
+def w10_merged_manifests(spark, sf_dir):
+    """Manifests are merged, so that their number doesn't follow the commits'."""
+    rows = table(spark, sf_dir, "region").withColumn(KIND, kinds.kind(kinds.INSERT)).withColumn(SEQ, F.col("r_regionkey").cast("long"))
+    made = warehouse(spark).create("region", _business(rows))
+    staged = made.stage(rows.coalesce(1))
+    first = made.promote(staged)
+    entry = made.file_entries()[0]
+    for _ in range(69):  # the same file again: the commits are what is tried here
+        first = made._publish("APPEND", [entry], None)
+    return made.raw().agg(F.lit(first + 1).alias("commits"), F.lit(len(made.manifests()) <= 66).alias("few"), F.count("*").alias("n"))
+
+
+@query("SELECT s_suppkey, s_name FROM supplier WHERE s_nationkey = 3")
+def x_views(spark, sf_dir):
+    """SQL over the views of a table: live rows joined with raw ones."""
+    rows, made = _suppliers(spark, sf_dir)
+    made.append(rows)
+    made.register("tide_supplier")
+    return spark.sql("SELECT l.s_suppkey, l.s_name FROM tide_supplier l JOIN tide_supplier__raw r USING (s_suppkey) WHERE l.s_nationkey = 3 AND (SELECT count(*) FROM tide_supplier__snapshots) = 1")
+
+
+@query("SELECT *, CAST(0 AS TINYINT) AS _row_kind, s_suppkey AS _seq FROM supplier")
+def x_data_source(spark, sf_dir):
+    """The table by its path, through the Python data source."""
+    from tidelog.sources.datasource import register
+
+    rows, made = _suppliers(spark, sf_dir)
+    made.append(rows)
+    register(spark)
+    return spark.read.format("tidelog").option("path", made.path).load()
+
+
+# --- more codecs -------------------------------------------------------------------------------------------------------
+
+
+@query("SELECT p_size, p_size * 65536 + p_size % 7 AS typmod, CASE WHEN p_size BETWEEN 1 AND 38 AND p_size % 7 <= p_size THEN p_size ELSE 38 END AS p, CASE WHEN p_size BETWEEN 1 AND 38 AND p_size % 7 <= p_size THEN p_size % 7 ELSE 18 END AS s FROM part")
+def f04_typmod(spark, sf_dir):
+    from tidelog.functions.types import typmod_column, typmod_parts
+
+    typmod = typmod_column(F.col("p_size"), F.col("p_size") % 7)
+    precision, scale = typmod_parts(typmod)
+    return table(spark, sf_dir, "part").select("p_size", typmod.alias("typmod"), precision.alias("p"), scale.alias("s"))
+
+
+@query("""SELECT c_custkey, CAST(c_custkey AS VARCHAR) AS key_text, chr(92) || 'x' || lower(hex(encode(c_name))) AS name_bytes, '{"a":' || CAST(c_nationkey AS VARCHAR) || ',"b":["' || c_mktsegment || '"]}' AS nested, CAST(CAST(c_nationkey AS VARCHAR) AS DOUBLE) AS number, CAST(NULL AS DOUBLE) AS none FROM customer""")
+def f05_to_text(spark, sf_dir):
+    nested = F.struct(F.col("c_nationkey").alias("a"), F.array("c_mktsegment").alias("b"))
+    return table(spark, sf_dir, "customer").select(
+        "c_custkey", kinds.to_text(F.col("c_custkey")).alias("key_text"), kinds.binary_text(F.encode("c_name", "UTF-8")).alias("name_bytes"), kinds.to_text(nested, True).alias("nested"),
+        kinds.to_number(kinds.to_text(F.col("c_nationkey"))).alias("number"), kinds.to_number(F.col("c_name")).alias("none"),
+    )
+
+
+@query("SELECT * FROM (VALUES ('boolean', 'BOOLEAN'), ('smallint', 'SMALLINT'), ('int', 'INT NOT NULL'), ('bigint', 'BIGINT'), ('float', 'FLOAT'), ('double', 'DOUBLE'), ('decimal(12,4)', 'DECIMAL(12, 4) NOT NULL'), ('string', 'STRING'), ('binary', 'BYTES'), ('date', 'DATE'), ('timestamp_ntz', 'TIMESTAMP'), ('timestamp', 'TIMESTAMP WITH LOCAL TIME ZONE')) t(kind, lake)")
+def f06_lake_types(spark, sf_dir):
+    from tidelog.functions.types import lake_type
+
+    told = ["boolean", "smallint", "int", "bigint", "float", "double", "decimal(12,4)", "string", "binary", "date", "timestamp_ntz", "timestamp"]
+    struct = T.StructType.fromDDL(", ".join(f"c{i} {t}" for i, t in enumerate(told)))
+    return spark.createDataFrame([(t, lake_type(f.dataType, t not in ("int", "decimal(12,4)"))) for t, f in zip(told, struct.fields, strict=True)], "kind string, lake string")
+
+
+@query("SELECT n_name, list_reduce(list_concat([CAST(2166136261 AS BIGINT)], list_transform(range(1, strlen(n_name) + 1), lambda i: CAST(ord(substr(n_name, i, 1)) AS BIGINT))), lambda h, b: (xor(h, b) * 16777619) % 4294967296) AS hash FROM nation")
+def f07_hash(spark, sf_dir):
+    return table(spark, sf_dir, "nation").select("n_name", kinds.fnv1a32_column(F.col("n_name")).alias("hash"))
+
+
+# --- messages and streams ----------------------------------------------------------------------------------------------
+
+
+def _event_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    txn = F.floor(F.col("event_id") / 10)
+    return capture.sequenced(table(spark, sf_dir, "events").withColumn(KIND, kinds.kind(kinds.INSERT)), txn, [F.col("event_id")])
+
+
+_EVENT_SEQ = f"{_TXN} * 4294967296 + row_number() OVER (PARTITION BY {_TXN} ORDER BY event_id) - 1"
+
+
+@query(f"SELECT event_id, ts, user_id, event_type, value, props, CAST(0 AS TINYINT) AS _row_kind, {_EVENT_SEQ} AS _seq FROM events")
+def t03_batch_decode(spark, sf_dir):
+    """Changes packed into framed messages, four rows each, and unpacked again."""
+    from tidelog.streaming import messages
+
+    changes = _event_changes(spark, sf_dir)
+    return messages.from_messages(messages.to_messages(changes, "events", rows=4), "events", changes.schema)
+
+
+@query("SELECT 'region' AS name, count(*) AS n FROM region UNION ALL SELECT 'nation', count(*) FROM nation")
+def t02_dispatch(spark, sf_dir):
+    """A stream of messages of two tables and their end markers, dispatched to both tables."""
+    from tidelog.streaming import messages
+
+    catalog, made, parts = warehouse(spark), {}, []
+    for name, key in (("region", "r_regionkey"), ("nation", "n_nationkey")):
+        rows = _keyed(table(spark, sf_dir, name), key)
+        made[name] = catalog.create(name, _business(rows), (key,))
+        parts.append((name, rows.schema, messages.to_messages(rows, name)))
+    parts[0][2].unionByName(parts[1][2]).write.parquet(f"{catalog.warehouse}/inbox")
+
+    def dispatch(batch: DataFrame, number: int) -> None:
+        for name, struct, _ in parts:
+            made[name].append(messages.from_messages(batch, name, struct), batch=f"dispatch:{number}")
+
+    inbox = spark.readStream.schema(messages.MESSAGE).parquet(f"{catalog.warehouse}/inbox")
+    inbox.writeStream.foreachBatch(dispatch).option("checkpointLocation", f"{catalog.warehouse}/mark").trigger(availableNow=True).start().awaitTermination()
+    count = lambda n: made[n].live().agg(F.lit(n).alias("name"), F.count("*").alias("n"))
+    return count("region").unionByName(count("nation"))
+
+
+@query("SELECT count(*) AS n, count_if(used > 2000) AS dropped, CAST(coalesce(sum(CASE WHEN used > 2000 THEN size END), 0) AS BIGINT) AS dropped_bytes FROM (SELECT length(props) AS size, sum(length(props)) OVER (PARTITION BY user_id ORDER BY event_id) AS used FROM events)")
+def t06_drop_report(spark, sf_dir):
+    return policy.drop_report(policy.overload(table(spark, sf_dir, "events"), [F.col("event_id")], ["user_id"], F.length("props"), 2000), F.length("props"))
+
+
+def _inbox(rows: DataFrame, root: str, parts: int, number) -> str:
+    """Files of a stream, one a part, in order."""
+    for n in range(parts):
+        rows.where(number == n).coalesce(1).write.mode("append").parquet(f"{root}/inbox")
+    return f"{root}/inbox"
+
+
+@query("SELECT 'count,stop' AS flushes, 2 AS snapshots, count(*) AS n FROM customer")
+def t10_policy_on_a_stream(spark, sf_dir):
+    """Four micro-batches of five transactions each: three are held until eleven are due, the last until the stop."""
+    rows, made = _customers(spark, sf_dir)
+    rows = rows.withColumn(SEQ, kinds.compose_seq(F.floor(F.col("c_custkey") / 4) % 5, F.col("c_custkey")))
+    root = made.path.rsplit("/", 2)[0]
+    inbox = _inbox(rows, root, 4, F.col("c_custkey") % 4)
+    sink = ingest.Flusher(spark, {"customer": made}, f"{root}/held", policy.FlushPolicy(txns=11, seconds=0))
+    ingest.work(ingest.ingest(ingest.change_files(spark, inbox, rows.schema, 1), {}, f"{root}/mark", sink=sink), sink)
+    return made.live().agg(F.lit(",".join(sink.flushes)).alias("flushes"), F.lit(len(made.snapshots())).alias("snapshots"), F.count("*").alias("n"))
+
+
+@query("SELECT 'region' AS name, count(*) AS n, 7 AS unrouted FROM region UNION ALL SELECT 'nation', count(*), 7 FROM nation")
+def t14_two_tables(spark, sf_dir):
+    """One stream into two tables; rows for a third are counted and reported."""
+    region, nation = table(spark, sf_dir, "region"), table(spark, sf_dir, "nation")
+    named = lambda t, name, key, text: t.select(F.lit(name).alias("to"), F.col(key).alias("id"), F.col(text).alias("name"))
+    rows = named(region, "region", "r_regionkey", "r_name").unionByName(named(nation, "nation", "n_nationkey", "n_name")).unionByName(named(nation, "nowhere", "n_nationkey", "n_name").where("id < 7"))
+    rows = _keyed(rows, "id")
+    catalog = warehouse(spark)
+    made = {n: catalog.create(n, _business(rows.drop("to")), ("id",)) for n in ("region", "nation")}
+    inbox, report = _inbox(rows, catalog.warehouse, 2, F.col("id") % 2), ingest.Report()
+    ingest.ingest(ingest.change_files(spark, inbox, rows.schema, 1), made, f"{catalog.warehouse}/mark", route="to", report=report).awaitTermination()
+    count = lambda n: made[n].live().agg(F.lit(n).alias("name"), F.count("*").alias("n"), F.lit(report.unrouted).alias("unrouted"))
+    return count("region").unionByName(count("nation"))
+
+
+@query("SELECT time_bucket(INTERVAL 1 DAY, ts) AS start, time_bucket(INTERVAL 1 DAY, ts) + INTERVAL 1 DAY AS \"end\", count(*) AS n FROM events WHERE event_id >= 10 GROUP BY ALL")
+def t17_late_rows(spark, sf_dir):
+    """A stream's daily counts: the ten earliest rows come when the watermark has passed them, and are left out."""
+    rows, root = table(spark, sf_dir, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts")), warehouse(spark).warehouse
+    end = rows.agg(F.max("ts")).first()[0]
+    far = rows.limit(1).select(F.lit(-1).cast("long").alias("event_id"), (F.lit(end) + F.expr("interval 40 days")).alias("ts"))
+    for part in (rows.where("event_id >= 10"), far, rows.where("event_id < 10"), far):
+        part.coalesce(1).write.mode("append").parquet(f"{root}/inbox")
+    counts = ingest.windowed_counts(ingest.change_files(spark, f"{root}/inbox", rows.schema, 1), "ts", "1 day", late="0 seconds")
+    counts.writeStream.outputMode("append").option("checkpointLocation", f"{root}/mark").option("path", f"{root}/counts").format("parquet").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{root}/counts").select(F.col("start").cast("timestamp_ntz").alias("start"), F.col("end").cast("timestamp_ntz").alias("end"), "n")
