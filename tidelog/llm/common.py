@@ -13,13 +13,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+HEAVY = 10_000
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's ``spark.checkpoint.dir``; only where it is unset (tests) a temporary folder."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    """The cluster's ``spark.checkpoint.dir``. Only a local session (tests) may leave it unset: it gets a temporary folder."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        current = spark.sparkContext.getCheckpointDir()
-        if current:
-            return current
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="tidelog-")
         spark.sparkContext.setCheckpointDir(root)
     return root
@@ -32,14 +34,34 @@ def scratch(spark: SparkSession, name: str) -> str:
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet in the shared folder and read again: lineage ends here and lost executors cost nothing."""
+    return written_at(df, name)[0]
+
+
+def written_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """The same, and the folder, for callers that can tell when nothing reads it any more (``drop_path``)."""
     spark = df.sparkSession
     path = scratch(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, or the like that ``df`` doesn't have as a column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
-def partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+def join_by_size(rows: DataFrame, found: DataFrame, key: str, count: str) -> DataFrame:
+    """``rows`` joined with ``found`` (unique in ``key``) where ``count`` says how many of the rows have a key.
+
+    Keys that over a ``HEAVY``-th of all rows have are broadcast, so there are fewer than HEAVY of them at any size; the
+    rest is shuffled, and no task gets more than that share for one key. Both tables should be written ones."""
+    bound = (found.agg(F.sum(count)).first()[0] or 0) / HEAVY
+    heavy, light = found.where(F.col(count) > bound), found.where(F.col(count) <= bound)
+    hot = rows.join(F.broadcast(heavy), key)
+    return hot.unionByName(rows.join(F.broadcast(heavy.select(key)), key, "left_anti").join(light, key).select(hot.columns))
 
 
 def drop_path(spark: SparkSession, path: str) -> None:
@@ -66,8 +88,3 @@ def text_bytes(column) -> F.Column:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def ascii_lower(column) -> F.Column:
-    """Only A-Z change, whatever the locale or script."""
-    return F.translate(column, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

@@ -1,15 +1,17 @@
 """SimHash near-duplicates: 64-bit fingerprints of 3-word shingles, links at 2 or fewer differing bits, pivot distance tables.
 
-The reference fingerprints are 0 and the sixteen masks of one nibble each. For disjoint masks the distances to them fix how
-many bits of each nibble are set: d(x, mask) = d(x, 0) + 4 - 2 * bits(x in mask). Fingerprints within 2 bits therefore have
-such counts that differ by 2 in total at most, so each fingerprint is filed under its own counts and under those one step
-away (33 keys at most): two that link share a key. Within a key a table of distances to further, pseudo-random pivots
-discards pairs whose largest coordinate difference exceeds 2, and the Hamming distance is computed for the survivors only.
-Exact copies are one fingerprint from the start. A key gives a spanning tree of its links, never all its pairs; no key is
-capped. Components come from alternating large-star and small-star rounds, each written to the shared folder.
+Two fingerprints that differ in 2 bits at most are equal in one of three blocks of bits. The reference fingerprints are 0
+and nine masks, three in each block. For disjoint masks the distances to them fix how many bits are set under each:
+d(x, mask) = d(x, 0) + |mask| - 2 * bits(x in mask). Within 2 bits these counts differ by 2 in total at most. So a fingerprint
+is filed, for each block, under the block's bits with the counts of the other two, and with those one step away (39 keys at
+most): two that link share a key, and two at random share one with a chance of about 10 in 1,000,000,000. Within a key a table of
+distances to further, pseudo-random pivots discards pairs whose largest coordinate difference exceeds 2, and the Hamming
+distance is computed for the survivors only. Exact copies are one fingerprint from the start. A key gives a spanning tree of
+its links, never all its pairs; no key is capped. Components come from alternating large-star and small-star rounds, each
+written to the shared folder.
 
 Words are runs of anything but space and \\x09-\\x0D of the text with A-Z lower-cased; a text of fewer than three words is one
-shingle, one without words (or null) has fingerprint zero, which links like any other.
+shingle, one without words (or null) has fingerprint zero, which links like any other. Rows that repeat an id keep a row each; extra columns are not read; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -23,10 +25,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_bytes, written
+from .common import drop_path, join_by_size, text_bytes, written, written_at
 
 BITS, LINK, SHINGLE, SEED = 64, 2, 3, 42
 SMALL_KEY = 8
+BLOCKS = ((0, 21), (21, 21), (42, 22))  # first bit, bits
+PIECES = tuple((at + 7 * n, 7 if n < 2 else size - 14) for at, size in BLOCKS for n in range(3))
 PIVOTS = np.array([xxhash.xxh64_intdigest(b"pivot %d" % i, SEED) for i in range(24)], np.uint64)
 _ONES = np.uint64(0x0101010101010101)
 SMALL_GRAPH = 500_000
@@ -75,22 +79,22 @@ def fingerprint_table(docs: DataFrame, text: str = "text", key: str = "doc_id")
     return docs.select(F.col(key).alias("doc_id"), text_bytes(F.col(text)).alias("text")).mapInArrow(run, f"doc_id {docs.schema[key].dataType.simpleString()}, fp long")
 
 
-def nibble_counts(x: np.ndarray) -> np.ndarray:
-    """Set bits of each nibble, in place of the nibble."""
-    x = x - ((x >> np.uint64(1)) & np.uint64(0x5555555555555555))
-    return (x & np.uint64(0x3333333333333333)) + ((x >> np.uint64(2)) & np.uint64(0x3333333333333333))
-
-
 def pivot_keys(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(keys, rows): the counts of each fingerprint and those one step away, each row at most once under a key."""
-    base = nibble_counts(fps)
-    keys, rows = [base], [np.arange(len(fps))]
-    for nibble in range(16):
-        shift = np.uint64(4 * nibble)
-        value = (base >> shift) & np.uint64(15)
-        up, down = np.flatnonzero(value < 4), np.flatnonzero(value > 0)
-        keys += [base[up] + (np.uint64(1) << shift), base[down] - (np.uint64(1) << shift)]
-        rows += [up, down]
+    """(keys, rows): for each block its bits and the other blocks' counts, as they are and one step away; each row at most once under a key."""
+    counts = [np.bitwise_count(fps & (np.uint64((1 << size) - 1) << np.uint64(at))).astype(np.uint64) for at, size in PIECES]
+    every, keys, rows = np.arange(len(fps)), [], []
+    for block, (at, size) in enumerate(BLOCKS):
+        own = ((fps >> np.uint64(at)) & np.uint64((1 << size) - 1)) << np.uint64(2) | np.uint64(block)
+        others = [i for i in range(9) if i // 3 != block]
+        shifts = [np.uint64(24 + 4 * n) for n in range(6)]
+        for i, shift in zip(others, shifts, strict=True):
+            own = own | counts[i] << shift
+        keys.append(own)
+        rows.append(every)
+        for i, shift in zip(others, shifts, strict=True):
+            up, down = np.flatnonzero(counts[i] < PIECES[i][1]), np.flatnonzero(counts[i] > 0)
+            keys += [own[up] + (np.uint64(1) << shift), own[down] - (np.uint64(1) << shift)]
+            rows += [up, down]
     return np.concatenate(keys), np.concatenate(rows)
 
 
@@ -167,7 +171,7 @@ def link_table(distinct: DataFrame) -> DataFrame:
 
 def components(links: DataFrame) -> DataFrame:
     """(node, root) for every node of the links (a, b): the smallest node it is connected to, itself included."""
-    edges = written(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "links")
+    edges, path = written_at(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "links")
     seen = None
     while True:
         count = edges.count()
@@ -179,7 +183,9 @@ def components(links: DataFrame) -> DataFrame:
         own = large.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("w"), "m")
         joined = large.join(own, F.col("u") == F.col("w"))
         small = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).union(own.select(F.col("w").alias("u"), F.col("m").alias("v"))).where("u <> v").distinct()
-        edges = written(small, "links")
+        before = path
+        edges, path = written_at(small, "links")
+        drop_path(links.sparkSession, before)
         now = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if now == seen:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).union(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
@@ -189,23 +195,11 @@ def components(links: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id for every row; component_id is the smallest id reachable, null only if none of them has an id."""
     table = written(fingerprint_table(docs, text, key), "fingerprints")
-    distinct = written(table.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
-    roots = components(link_table(distinct))
+    distinct = written(table.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")), "distinct")
+    roots = written(components(link_table(distinct)), "roots")
     # Unlinked fingerprints are their own component; linked ones get the least id over all of theirs.
-    linked = distinct.join(roots, F.col("fp") == F.col("node"))
-    least = linked.groupBy("root").agg(F.min("least").alias("component_id"))
-    found = linked.select("fp", "root").join(least, "root").select("fp", "component_id")
-    every = distinct.join(found, "fp", "left").select("fp", F.coalesce("component_id", "least").alias("component_id"))
-    return table.join(every, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
-
-
-def keep_representatives(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """The rows of ``docs``, all columns, less those that are a near-duplicate of a smaller id. Of rows that repeat an id one stays; rows without an id stay."""
-    found = written(near_duplicates(docs, text, key), "components")
-    losers = found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("__loser"))
-    kept = docs.join(losers, docs[key] == F.col("__loser"), "left_anti")
-    repeated = found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("__again"))
-    if repeated.isEmpty():
-        return kept
-    again = kept.join(repeated, kept[key] == F.col("__again"), "left_semi").dropDuplicates([key])
-    return kept.join(repeated, kept[key] == F.col("__again"), "left_anti").unionByName(again)
+    linked = written(distinct.join(roots, F.col("fp") == F.col("node")).select("fp", "least", "root"), "linked")
+    least = written(linked.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("m")), "least")
+    found = join_by_size(linked.select("fp", "root"), least, "root", "m").select("fp", "component_id")
+    every = written(distinct.join(found, "fp", "left").select("fp", "n", F.coalesce("component_id", "least").alias("component_id")), "every")
+    return join_by_size(table, every, "fp", "n").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
