@@ -313,11 +313,24 @@ def test_simhash(odd):
     got = sorted((str(r.doc_id), r.fingerprint, str(r.component_id)) for r in simhash.near_duplicates(odd).collect())
     assert got == sorted((str(i), f"{f:016x}", str(least[g])) for (i, _), f, g in zip(rows, fps, groups, strict=True))
     assert simhash.near_duplicates(odd.limit(0)).count() == 0
-    kept = [r.doc_id for r in simhash.keep_representatives(odd).collect()]
-    assert len(kept) == len(set(kept)) and set(kept) - {None} == {i for (i, _), g in zip(rows, groups, strict=True) if i is not None and least[g] == i}
 
 
-def test_links_of_a_dense_ball_and_a_chain(spark):
+def test_linked_fingerprints_share_a_key():
+    rng = np.random.default_rng(9)
+    fps = np.concatenate([np.array([0, 2**64 - 1], np.uint64), rng.integers(0, 2**64 - 1, 300, dtype=np.uint64, endpoint=True)])
+    for a, b in [(0, 0), (0, 1), *rng.integers(0, 64, (200, 2)).tolist()]:
+        other = fps ^ np.uint64((1 << a) | (1 << b))
+        sets = []
+        for side in (fps, other):
+            keys, rows = simhash.pivot_keys(side)
+            assert len(set(zip(keys.tolist(), rows.tolist(), strict=True))) == len(keys) <= 39 * len(side)
+            sets.append([set(keys[rows == i].tolist()) for i in range(len(side))])
+        assert all(x & y for x, y in zip(*sets, strict=True))
+
+
+@pytest.mark.parametrize("small", [500_000, 0])
+def test_links_of_a_dense_ball_and_a_chain(spark, monkeypatch, small):
+    monkeypatch.setattr(simhash, "SMALL_GRAPH", small)
     rng = np.random.default_rng(5)
     centre, chain = int(rng.integers(0, 1 << 63)), [int(rng.integers(0, 1 << 63))]
     fps = {centre ^ (1 << a) ^ (1 << b) for a in range(24) for b in range(24)}
@@ -370,17 +383,28 @@ def test_near_copies(spark, odd):
     assert found == brute_near(rows)
 
 
-def test_near_copies_of_odd_rows(odd):
-    rows = [(i, t) for i, t in pairs(odd) if i is not None]
-    expected = brute_near(rows)
+@pytest.mark.parametrize("group", [200_000, 200])
+def test_near_copies_of_odd_rows(odd, monkeypatch, group):
+    monkeypatch.setattr(near_copies, "GROUP_SHINGLES", group)
+    rows = pairs(odd)
+    by_place = brute_near([(n, t) for n, (_, t) in enumerate(rows)])
+    order = lambda n: (rows[n][0] is None, rows[n][0], hashlib.md5((rows[n][1] or "").encode()).hexdigest())
+    best = {n: min((m for m in by_place if by_place[m] == by_place[n]), key=order) for n in by_place}
     found = near_copies.near_copies(odd).collect()
-    assert sorted(r.doc_id for r in found) == sorted(i for i, _ in rows)
-    assert all(r.component_id == expected[r.doc_id] for r in found)
-    kept = [r.doc_id for r in near_copies.keep_representatives(odd).collect()]
-    assert sorted(i for i in kept if i is not None) == sorted({i for i in expected if expected[i] == i}) and kept.count(None) == sum(i is None for i, _ in pairs(odd))
+    assert sorted((str(r.doc_id), str(r.component_id)) for r in found) == sorted((str(rows[n][0]), str(rows[best[n]][0])) for n in best)
+    kept = near_copies.keep_representatives(odd.withColumn("near_id", F.lit(1)).withColumn("same", F.lit(2)))
+    assert kept.columns == [*odd.columns, "near_id", "same"]
+    assert sorted(map(str, pairs(kept))) == sorted(str(rows[n]) for n in set(best.values()))
     assert near_copies.near_copies(odd.limit(0)).count() == near_copies.keep_representatives(odd.limit(0)).count() == 0
 
 
+def test_near_copies_without_ids(spark):
+    text = " ".join(f"w{i}" for i in range(40))
+    docs = spark.createDataFrame([(None, text), (None, text), (None, text + " more"), (None, "other words"), (5, "x y"), (5, "z"), (5, "z")], "doc_id long, text string")
+    kept = sorted(map(str, pairs(near_copies.keep_representatives(docs))))
+    assert kept[:2] == ["(5, 'x y')", "(5, 'z')"] and len(kept) == 4 and "(None, 'other words')" in kept
+
+
 # --- 9
 
 

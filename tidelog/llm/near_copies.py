@@ -1,39 +1,50 @@
-"""Near copies by whole-text similarity: five-word shingle sets with a Jaccard similarity of 0.8 or more, by MinHash bands and prefixes.
-
-Such texts differ in about ten of a 64-bit SimHash's bits, which no key over fingerprints alone can reach. So candidates
-share one of ``BANDS`` keys of ``ROWS`` shingle minima (two texts at exactly 0.8 share none once in 10,000 pairs, more similar
-ones less often); pairs whose fingerprints differ by more than ``RADIUS`` bits are discarded (the distances to the pivots are
-compared before, but at this radius that bound prunes next to nothing); the survivors' sets are compared whole, by 64-bit hashes of their shingles.
-
-A key's rows are never paired all with all. First each is compared with the key's smallest id; that forms components. Rows of
-keys that still hold several components are then filed under their rarest shingles (``prefix_pairs``), where any two similar
-ones of different components meet, so that no link is lost. Exact copies (equal words) are one text from the start. No key is
-capped.
+"""Near copies by whole-text similarity: five-word shingle sets with a Jaccard similarity of 0.8 or more, without a loss.
+
+Such texts differ in about ten of a 64-bit SimHash's bits, which no key over fingerprints reaches. So there are two steps:
+
+1. ``simhash.link_table``: fingerprints (of five-word shingles) within 2 bits, found by pivot tables. Each such pair of texts
+   is verified; this joins copies with few changes.
+2. Prefixes: all shingles have one order, rare ones first. In it the first common shingle of two similar sets is among the
+   first n - 0.8 n + 1 of each, and at least 4/9 of both sizes' sum must follow in both. Each text is filed under the shingles
+   of its prefix. A key's texts are first compared with one of them; then, where a key still holds several components, with
+   ``LEADERS`` of its texts, and with as many of different components; what is still apart is compared with each other. So any two similar
+   texts end in one component, whatever the first step missed, and a large group of copies isn't compared in pairs.
+
+Between the texts of a key a sketch decides first: 512 bits, each the parity of how many of a text's shingles fall into one of
+512 classes. Where two sketches differ a shingle is in one set only, so of similar sets they differ in a ninth of both sizes'
+sum at most: this bound loses no pair either. A pair is verified by its whole sets (64-bit hashes of the shingles). Pairs are not made of texts that are in one component
+already. What many unlike texts share, such as a long passage, comes late in the order and makes no pairs; rarity is counted
+over all texts by ``2 ** RARITY_BITS`` ranges of the hash, a table of fixed size, and is a matter of speed only. Texts of one
+key that are all unlike each other, though each shares most of its shingles with each, are the one case in which the pairs of
+a key are all compared.
 
 Words are as in ``simhash``. A text of fewer than five words is one shingle; texts without words (null too) are copies of each
-other.
+other, and so are texts of equal words. Rows are told apart by id and text, so rows without an id or that repeat one are
+judged like any other; of rows that are equal in both, one stays. Ids sort null last, then by text. Extra columns are kept,
+whatever their names.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import lru_cache, partial
+from functools import partial
 from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import text_bytes, written
-from .simhash import PIVOTS, components, majority
+from .common import fresh, join_by_size, text_bytes, written
+from .simhash import components, link_table, majority
 
-WIDTH, BANDS, ROWS, RADIUS, SEED = 5, 24, 5, 26, 7
-RARITY_BITS = 18
-_A = np.array([xxhash.xxh64_intdigest(b"factor %d" % i, SEED) | 1 for i in range(BANDS * ROWS)], np.uint64)
-_C = np.array([xxhash.xxh64_intdigest(b"mask %d" % i, SEED) for i in range(BANDS * ROWS)], np.uint64)
+WIDTH, SEED = 5, 7
+RARITY_BITS, SLICES = 18, 64
+GROUP_SHINGLES = 20_000
+LEADERS, TURNS = 16, 2
+PARITY = tuple(f"p{i}" for i in range(8))
 
 
 def word_list(text: bytes) -> list[bytes]:
@@ -49,170 +60,245 @@ def shingle_hashes(words: list[bytes]) -> np.ndarray:
     return np.unique(np.fromiter(map(partial(xxhash.xxh64_intdigest, seed=SEED), made), np.uint64, n))
 
 
-def sketch(hashes: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """(fingerprints, keys) of texts given by their shingles' hashes; keys has a row of BANDS a text, meaningless where there are none."""
-    sizes = np.array([len(h) for h in hashes], np.int64)
-    keys = np.zeros((len(hashes), BANDS), np.uint64)
-    if not sizes.sum():
-        return np.zeros(len(hashes), np.uint64), keys
-    flat, full = np.concatenate(hashes), np.flatnonzero(sizes)
-    starts = (np.cumsum(sizes) - sizes)[full]
-    for i in range(BANDS * ROWS):
-        least = np.minimum.reduceat((flat ^ _C[i]) * _A[i], starts)
-        made = (keys[full, i // ROWS] ^ least ^ np.uint64(i)) * _A[i // ROWS]
-        keys[full, i // ROWS] = made ^ (made >> np.uint64(31))
-    return majority(flat, sizes), keys
-
-
 def similar(one: np.ndarray, other: np.ndarray) -> bool:
     """Of two texts' distinct hashes."""
     both = len(np.intersect1d(one, other, assume_unique=True))
     return 5 * both >= 4 * (len(one) + len(other) - both)
 
 
-def sketches(docs: DataFrame, text: str, key: str) -> DataFrame:
-    """doc_id, same (a digest of the words), fp, keys (null without words), for every row that has an id."""
+def prefix_length(n: np.ndarray) -> np.ndarray:
+    """n - ceil(0.8 n) + 1; none of an empty set."""
+    return np.where(n, n + 1 - (4 * n + 4) // 5, 0)
+
+
+def parities(hashes: np.ndarray) -> np.ndarray:
+    """The sketch as eight words: whether each of 512 classes of the hash has an odd number."""
+    odd = np.bincount((hashes >> np.uint64(20)).astype(np.int64) & 511, minlength=512) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+def _same(words: list[bytes]) -> bytes:
+    return hashlib.md5(b" ".join(words)).digest()
+
+
+def _named(docs: DataFrame, text: str, key: str) -> DataFrame:
+    """doc_id, mark (a digest of the text as it is), text."""
+    return docs.select(F.col(key).alias("doc_id"), F.md5(text_bytes(F.col(text))).alias("mark"), text_bytes(F.col(text)).alias("text"))
+
+
+def sketches(named: DataFrame) -> DataFrame:
+    """doc_id, mark, same (a digest of the words), fp, n (shingles), the sketch for every row; and rows with a slice's number and its counts of shingles by range of the hash, each text of a task counted once."""
+    shift, slice_size = np.uint64(64 - RARITY_BITS), (1 << RARITY_BITS) // SLICES
+    kind = pa.schema([("doc_id", pa.null()), ("mark", pa.string()), ("same", pa.binary()), ("fp", pa.int64()), ("n", pa.int32()), *((p, pa.int64()) for p in PARITY), ("slice", pa.int32()), ("counts", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, seen, of_id = np.zeros(1 << RARITY_BITS, np.uint32), set(), pa.null()
         for batch in batches:
-            for at in range(0, batch.num_rows, 128):
-                part, hashes, same = batch.slice(at, 128), [], []
-                for text in part.column(1):
+            of_id = batch.schema.field(0).type
+            for at in range(0, batch.num_rows, 256):
+                part, hashes, same = batch.slice(at, 256), [], []
+                for text in part.column(2):
                     words = word_list(text.as_py())
-                    same.append(hashlib.md5(b" ".join(words)).digest())
-                    hashes.append(shingle_hashes(words))
-                fps, keys = sketch(hashes)
-                listed = pa.array([k if len(h) else None for k, h in zip(keys.view(np.int64).tolist(), hashes, strict=True)], pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(same, pa.binary()), pa.array(fps.view(np.int64)), listed], ["doc_id", "same", "fp", "keys"])
+                    digest, found = _same(words), shingle_hashes(words)
+                    if digest not in seen:
+                        seen.add(digest)
+                        np.add.at(total, (found >> shift).astype(np.int64), 1)
+                    same.append(digest)
+                    hashes.append(found)
+                sizes = np.array([len(h) for h in hashes], np.int64)
+                fps = majority(np.concatenate([*hashes, np.empty(0, np.uint64)]), sizes)
+                none, words_of = pa.nulls(len(same)), np.asarray([parities(h) for h in hashes]).reshape(-1, 8)
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(same, pa.binary()), pa.array(fps.view(np.int64)), pa.array(sizes, pa.int32()), *(pa.array(words_of[:, i]) for i in range(8)), none.cast(pa.int32()), none.cast(pa.binary())], kind.names)
+        filled = [i for i in range(SLICES) if total[i * slice_size : (i + 1) * slice_size].any()]
+        columns = [pa.nulls(len(filled), of_id), *(pa.nulls(len(filled), f.type) for f in list(kind)[1:-2])]
+        blobs = [total[i * slice_size : (i + 1) * slice_size].astype("<u4").tobytes() for i in filled]
+        yield pa.RecordBatch.from_arrays([*columns, pa.array(filled, pa.int32()), pa.array(blobs, pa.binary())], kind.names)
 
-    named = docs.where(F.col(key).isNotNull()).select(F.col(key).alias("doc_id"), text_bytes(F.col(text)).alias("text"))
-    return named.mapInArrow(run, f"doc_id {docs.schema[key].dataType.simpleString()}, same binary, fp long, keys array<long>")
+    return named.mapInArrow(run, f"doc_id {named.schema['doc_id'].dataType.simpleString()}, mark string, same binary, fp long, n int, {', '.join(f'{p} long' for p in PARITY)}, slice int, counts binary")
 
 
-def survivors(pairs: DataFrame) -> DataFrame:
-    """Of pairs (a, b, fa, fb) those whose pivot distances and fingerprints differ by RADIUS bits at most."""
+def rarity(made: DataFrame) -> np.ndarray:
+    """How many shingles each range of the hash has, over all tasks; SLICES rows come to the driver."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            one, other = (np.asarray(batch.column(i)).view(np.uint64) for i in (2, 3))
-            coordinates = [np.bitwise_count(x[:, None] ^ PIVOTS[None, :]).astype(np.int8) for x in (one, other)]
-            left = np.abs(coordinates[0] - coordinates[1]).max(1, initial=0) <= RADIUS
-            left[left] = np.bitwise_count(one[left] ^ other[left]) <= RADIUS
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(left))
+    def added(table: pa.Table) -> pa.Table:
+        total = np.sum([np.frombuffer(b, "<u4") for b in table.column("counts").to_pylist()], axis=0, dtype=np.int64)
+        return pa.table({"slice": pa.array([table.column("slice")[0].as_py()], pa.int32()), "counts": pa.array([total.astype("<i8").tobytes()])})
 
-    kind = pairs.schema["a"].dataType.simpleString()
-    return pairs.select("a", "b", "fa", "fb").mapInArrow(run, f"a {kind}, b {kind}").distinct()
+    counts = np.zeros((SLICES, (1 << RARITY_BITS) // SLICES), np.int64)
+    for row in made.where("slice is not null").select("slice", "counts").groupBy("slice").applyInArrow(added, "slice int, counts binary").collect():
+        counts[row["slice"]] = np.frombuffer(row["counts"], "<i8")
+    return counts.ravel()
 
 
-def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Of pairs (a, b) those whose texts are similar; ``texts``: doc_id, text as bytes."""
+def prefixes(named: DataFrame, counts: np.ndarray) -> DataFrame:
+    """key, same, n, rest: the shingles of each text's prefix and how many of its own follow, itself included; each text once a task."""
+    shared, shift = named.sparkSession.sparkContext.broadcast(counts), np.uint64(64 - RARITY_BITS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sets = lru_cache(8)(lambda text: shingle_hashes(word_list(text)))  # one side often repeats
+        common, seen = shared.value, set()
         for batch in batches:
-            good = [similar(sets(batch.column(2)[i].as_py()), sets(batch.column(3)[i].as_py())) for i in range(batch.num_rows)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(good, pa.bool_()))
+            for at in range(0, batch.num_rows, 256):
+                same, keys, sizes = [], [], []
+                for text in batch.column(0).slice(at, 256):
+                    words = word_list(text.as_py())
+                    digest = _same(words)
+                    if digest in seen or not words:
+                        continue
+                    seen.add(digest)
+                    found = shingle_hashes(words)
+                    first = int(prefix_length(np.int64(len(found))))
+                    order = common[(found >> shift).astype(np.int64)]
+                    if first < len(found):  # the rarest ones, ties by hash, then those alone are sorted
+                        bound = np.partition(order, first - 1)[first - 1]
+                        some = np.flatnonzero(order <= bound)
+                        some = some[np.argsort(order[some], kind="stable")][:first]
+                    else:
+                        some = np.argsort(order, kind="stable")
+                    same.append(digest)
+                    keys.append(found[some])
+                    sizes.append(len(found))
+                sizes, lengths = np.asarray(sizes, np.int64), np.asarray([len(k) for k in keys], np.int64)
+                rows = np.repeat(np.arange(len(same)), lengths)
+                rest = sizes[rows] - (np.arange(len(rows)) - np.repeat(np.cumsum(lengths) - lengths, lengths))
+                flat = np.concatenate([*keys, np.empty(0, np.uint64)]).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(flat), pa.array(same, pa.binary()).take(pa.array(rows)), pa.array(sizes[rows], pa.int32()), pa.array(rest, pa.int32())], ["key", "same", "n", "rest"])
 
-    kind = pairs.schema["a"].dataType.simpleString()
-    side = lambda name: texts.select(F.col("doc_id").alias(name), F.col("text").alias(f"text_{name}"))
-    both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "text_a", "text_b")
-    return both.mapInArrow(run, f"a {kind}, b {kind}")
+    return named.select("text").mapInArrow(run, "key long, same binary, n int, rest int")
 
 
-def prefix_pairs(left: DataFrame, texts: DataFrame) -> DataFrame:
-    """(a, b, fa, fb): pairs of ``left`` (doc_id, fp, at) of different components ``at``, every similar one among them.
+def verified(pairs: DataFrame, texts: DataFrame, named: DataFrame) -> DataFrame:
+    """Of pairs (a, b) those whose texts are similar. ``texts``: same, n and the row (doc_id, mark) to read it from.
 
-    All shingles have one order, rare ones first. In it the first common shingle of two similar sets is among the first
-    n - 0.8 n + 1 of each, and at least 4/9 of both sizes' sum must follow in both. What many unlike texts share, such as a
-    long passage, comes late in the order and makes no pairs. Rarity is counted over ``left`` by ``2 ** RARITY_BITS`` ranges of
-    the hash, a table of fixed size; whatever it says, no similar pair is lost.
-    """
-    kind = left.schema["doc_id"].dataType.simpleString()
-    shift = np.uint64(64 - RARITY_BITS)
+    A text's set goes to the groups that need it. A group is one ``a`` with some of its ``b``, GROUP_SHINGLES or one text: an
+    ``a`` with many partners is dealt over several groups. A group's rows pass by one at a time, the ``a`` first."""
+    pairs = written(pairs.select("a", "b").distinct(), "pairs")
+    sized = pairs.join(texts.select(F.col("same").alias("b"), "n"), "b").groupBy("a").agg(F.ceil(F.sum("n") / GROUP_SHINGLES).cast("int").alias("groups"), F.count("*").alias("m"))
+    sized = written(sized.withColumn("groups", F.greatest(F.col("groups"), F.lit(1))), "groups")
+    firsts = sized.select(F.col("a").alias("same"), F.col("a").alias("to"), F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("group"), F.lit(0).alias("turn"))
+    others = join_by_size(pairs, sized, "a", "m").select(F.col("b").alias("same"), F.col("a").alias("to"), F.pmod(F.xxhash64("b"), F.col("groups")).cast("int").alias("group"), F.lit(1).alias("turn"))
+    sent = firsts.unionByName(others).groupBy("same").agg(F.collect_list(F.struct("to", "group", "turn")).alias("sent"))
+    wanted = sent.join(texts.select("same", F.col("doc_id").alias("row_id"), F.col("mark").alias("row_mark")), "same")
+    read = named.join(wanted, F.col("doc_id").eqNullSafe(F.col("row_id")) & (F.col("mark") == F.col("row_mark"))).select("same", "text", "sent")
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                sets = [shingle_hashes(word_list(t.as_py())).tobytes() for t in part.column(3)]
-                yield pa.RecordBatch.from_arrays([*part.columns[:3], pa.array(sets, pa.binary())], ["doc_id", "fp", "at", "hashes"])
-
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << RARITY_BITS, np.int64)
+            for at in range(0, batch.num_rows, 64):
+                part = batch.slice(at, 64)
+                sets = [shingle_hashes(word_list(t.as_py())).tobytes() for t in part.column(1)]
+                lists = part.column(2).to_pylist()
+                rows = np.repeat(np.arange(len(sets)), [len(x) for x in lists])
+                flat = [s for x in lists for s in x]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([s["to"] for s in flat], pa.binary()), pa.array([s["group"] for s in flat], pa.int32()), pa.array([s["turn"] for s in flat], pa.int32()), part.column(0).take(pa.array(rows)), pa.array([sets[r] for r in rows], pa.binary())],
+                    ["to", "group", "turn", "same", "hashes"],
+                )
+
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, own = None, None
         for batch in batches:
-            for blob in batch.column(0):
-                np.add.at(total, (np.frombuffer(blob.as_py(), np.uint64) >> shift).astype(np.int64), 1)
-        some = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["range", "n"])
-
-    sets = written(texts.join(left, "doc_id").select("doc_id", "fp", "at", "text").mapInArrow(hashed, f"doc_id {kind}, fp long, at {kind}, hashes binary"), "sets")
-    told = sets.select("hashes").mapInArrow(counted, "range long, n long").groupBy("range").agg(F.sum("n").alias("n")).toArrow()
-    counts = np.zeros(1 << RARITY_BITS, np.int64)
-    counts[np.asarray(told.column(0))] = np.asarray(told.column(1))
-    shared = left.sparkSession.sparkContext.broadcast(counts)
-
-    def filed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        common = shared.value
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                read = [np.frombuffer(b.as_py(), np.uint64) for b in part.column(3)]
-                sizes = np.asarray([len(h) for h in read], np.int64)
-                lengths = np.where(sizes, sizes + 1 - (4 * sizes + 4) // 5, 0)
-                first = [h[np.lexsort((h, common[(h >> shift).astype(np.int64)]))[:n]] for h, n in zip(read, lengths, strict=True)]
-                keys = np.concatenate([*first, np.empty(0, np.uint64)]).view(np.int64)
-                rows = np.repeat(np.arange(len(sizes)), lengths)
-                rest = sizes[rows] - (np.arange(len(rows)) - np.repeat(np.cumsum(lengths) - lengths, lengths))
-                named = part.select([0, 1, 2]).take(pa.array(rows))  # without the hashes: they would come once a key
-                yield pa.RecordBatch.from_arrays([*named.columns, pa.array(keys), pa.array(sizes[rows]), pa.array(rest)], ["doc_id", "fp", "at", "key", "n", "rest"])
+            a, b = [], []
+            for to, turn, same, hashes in zip(*(batch.column(c) for c in ("to", "turn", "same", "hashes")), strict=True):
+                data = np.frombuffer(hashes.as_buffer(), np.uint64)
+                if not turn.as_py():
+                    at, own = to.as_py(), data.copy()
+                elif to.as_py() == at and similar(own, data):
+                    a.append(at)
+                    b.append(same.as_py())
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
+
+    sets = read.mapInArrow(hashed, "to binary, group int, turn int, same binary, hashes binary")
+    ordered = sets.repartition("to", "group").sortWithinPartitions("to", "group", "turn", "same")
+    return written(ordered.mapInArrow(compared, "a binary, b binary"), "similar")
+
+
+def _rooted(rows: DataFrame, roots: DataFrame, column: str) -> DataFrame:
+    """``rows`` with the component of the text in ``column``, as ``<column>_at``."""
+    found = roots.select(F.col("node").alias(column), F.col("root").alias("_root"))
+    return rows.join(found, column, "left").withColumn(f"{column}_at", F.coalesce("_root", column)).drop("_root")
+
+
+def _mixed(left: DataFrame, roots: DataFrame) -> DataFrame:
+    """The rows of the keys that hold several components, with their component."""
+    known = written(_rooted(left.drop("same_at"), roots, "same"), "known")
+    several = known.groupBy("key").agg(F.min("same_at").alias("low"), F.max("same_at").alias("high"), F.count("*").alias("m")).where("low <> high").select("key", "m")
+    return written(join_by_size(known, written(several, "several"), "key", "m").drop("m"), "mixed")
+
+
+def _grouped(named: DataFrame) -> DataFrame:
+    """doc_id, mark, id and text_mark of the row that its group keeps, for every row."""
+    everything = written(sketches(named), "sketches")
+    made = everything.where("slice is null").drop("slice", "counts")
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark")).alias("least")
+    texts = written(made.groupBy("same").agg(least, F.first("fp").alias("fp"), F.first("n").alias("n"), *(F.first(p).alias(p) for p in PARITY), F.count("*").alias("copies")).select("same", "fp", "n", *PARITY, "copies", "least", "least.doc_id", "least.mark"), "texts")
+
+    # Fingerprints within two bits; texts of one fingerprint meet its first.
+    by_print = written(texts.where("n > 0").groupBy("fp").agg(F.min("same").alias("first"), F.count("*").alias("m")), "prints")
+    near = written(link_table(by_print.select("fp")), "near")
+    side = lambda c: by_print.select(F.col("fp").alias(c), F.col("first").alias(f"{c}_first"))
+    bits = near.join(side("a"), "a").join(side("b"), "b").select(F.col("a_first").alias("a"), F.col("b_first").alias("b"))
+    equal = join_by_size(texts.where("n > 0").select("same", "fp"), by_print, "fp", "m").where("same <> first").select(F.col("first").alias("a"), F.col("same").alias("b"))
+    links = verified(bits.unionByName(equal), texts, named)
+    roots = written(components(links), "roots")
+
+    # Prefixes: each key's texts against its first one.
+    filed = written(prefixes(named, rarity(everything)), "prefixes")
+    first = F.min(F.struct("same", "n", "rest")).alias("first")
+    keys = written(filed.groupBy("key").agg(first, F.max("same").alias("last"), F.count("*").alias("m")).where("first.same <> last").select("key", "first", "m"), "keys")
+    members = join_by_size(filed, keys, "key", "m").select("key", "same", "n", "rest", F.col("first.same").alias("lead"), F.col("first.n").alias("lead_n"), F.col("first.rest").alias("lead_rest"))
+    members = written(members, "members")
+    enough = lambda n, rest, m, other: 9 * F.least(rest, other) >= 4 * (F.col(n) + F.col(m))
+    apart = members.where("same <> lead").where(enough("n", "rest", "lead_n", "lead_rest")).select(F.col("lead").alias("a"), F.col("same").alias("b")).distinct()
+    apart = _rooted(_rooted(apart, roots, "a"), roots, "b").where("a_at <> b_at")
+    links = written(links.unionByName(verified(apart, texts, named)), "links")
+    roots = written(components(links), "roots")
+
+    # Keys that still hold several components: their texts against a few leaders of different components, a few times.
+    side = lambda x, rows, *more: rows.select("key", F.col("same").alias(x), *(F.col(c).alias(f"{x}_{c}") for c in ("n", "rest", *PARITY)), F.col("same_at").alias(f"{x}_at"), *more)
+    differ = sum((F.bit_count(F.col(f"a_{p}").bitwiseXOR(F.col(f"b_{p}"))) for p in PARITY), F.lit(0))
+    close = enough("a_n", "a_rest", "b_n", "b_rest") & (9 * differ <= F.col("a_n") + F.col("b_n"))
+    left = written(members.select("key", "same", "n", "rest").distinct().join(texts.select("same", *PARITY), "same"), "left")
+    for turn in range(TURNS):
+        left = _mixed(left, roots)
+        if left.isEmpty():
+            break
+        by = "same" if turn == 0 else "same_at"  # any texts, so most are of the largest component; then texts of different components
+        order = Window.partitionBy("key").orderBy(F.xxhash64(by), by)
+        one = left if turn == 0 else left.groupBy("key", "same_at").agg(F.min(F.struct("same", "n", "rest", *PARITY)).alias("lead")).select("key", "same_at", "lead.*")
+        leaders = one.withColumn("place", F.row_number().over(order)).where(F.col("place") <= LEADERS)
+        listed = side("a", leaders).groupBy("key").agg(F.collect_list(F.struct("a", "a_n", "a_rest", "a_at", *(f"a_{p}" for p in PARITY))).alias("leaders"))
+        counted = written(listed.join(left.groupBy("key").agg(F.count("*").alias("m")), "key"), "leaders")
+        met = join_by_size(side("b", left), counted, "key", "m").select("*", F.explode("leaders").alias("leader")).select("*", "leader.*")
+        links = written(links.unionByName(verified(met.where((F.col("a_at") != F.col("b_at")) & close).select("a", "b"), texts, named)), "links")
+        roots = written(components(links), "roots")
+    # What is still apart: against each other.
+    left = _mixed(left, roots)
+    more = written(side("a", left).join(side("b", left), "key").where((F.col("a_at") < F.col("b_at")) & close).select("a", "b").distinct(), "more")
+    if not more.isEmpty():
+        links = written(links.unionByName(verified(more, texts, named)), "links")
+        roots = written(components(links), "roots")
 
-    made = sets.mapInArrow(filed, f"doc_id {kind}, fp long, at {kind}, key long, n long, rest long")
-    # One table for both sides, so that it is computed and shuffled once.
-    made = written(made, "prefixes")
-    side = lambda x: made.select("key", F.col("doc_id").alias(x), *(F.col(c).alias(f"{c}_{x}") for c in ("fp", "at", "n", "rest")))
-    close = F.bit_count(F.col("fp_a").bitwiseXOR(F.col("fp_b"))) <= RADIUS
-    enough = 9 * F.least("rest_a", "rest_b") >= 4 * (F.col("n_a") + F.col("n_b"))
-    both = side("a").join(side("b"), "key").where((F.col("at_a") < F.col("at_b")) & enough & close)
-    return both.select("a", "b", F.col("fp_a").alias("fa"), F.col("fp_b").alias("fb"))
+    every = written(_rooted(texts.select("same", "copies", "least"), roots, "same"), "every")
+    best = written(every.groupBy("same_at").agg(F.min("least").alias("best"), F.count("*").alias("m")), "best")
+    told = written(join_by_size(every.select("same", "copies", "same_at"), best, "same_at", "m").select("same", "copies", F.col("best.doc_id").alias("id"), F.col("best.mark").alias("text_mark")), "told")
+    return join_by_size(made.select("doc_id", "mark", "same"), told, "same", "copies").select("doc_id", "mark", "id", "text_mark")
 
 
 def near_copies(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """doc_id, component_id (smallest id of the documents it is connected to, itself included), for every row that has an id."""
-    made = written(sketches(docs, text, key), "sketches")
-    least = F.min("doc_id").alias("least")
-    own = written(made.groupBy("same").agg(least, F.min_by("fp", "doc_id").alias("fp"), F.min_by("keys", "doc_id").alias("keys")), "own")
-    filed = own.where("keys is not null").select("least", "fp", F.explode("keys").alias("key"))
-    leaders = filed.groupBy("key").agg(F.min("least").alias("leader"), F.min_by("fp", "least").alias("leader_fp"), F.count("*").alias("n")).where("n > 1").drop("n")
-    members = written(filed.join(leaders, "key"), "members")
-
-    first = written(survivors(members.where("least <> leader").select(F.col("leader").alias("a"), F.col("least").alias("b"), F.col("leader_fp").alias("fa"), F.col("fp").alias("fb"))), "pairs")
-    whole = docs.select(F.col(key).alias("doc_id"), text_bytes(F.col(text)).alias("text"))
-    links = written(verified(first, whole), "similar")
-    found = written(components(links), "roots")
-
-    root = lambda name: found.select(F.col("node").alias(name), F.col("root").alias(f"{name}_root"))
-    known = members.join(root("least"), "least", "left").join(root("leader"), "leader", "left")
-    known = known.select("key", "least", "leader", "fp", F.coalesce("least_root", "least").alias("at"), F.coalesce("leader_root", "leader").alias("leads"))
-    known = written(known.where("least <> leader"), "known")
-    mixed = known.where("at <> leads").select("key").distinct()
-    left = known.join(mixed, "key", "left_semi").groupBy(F.col("least").alias("doc_id")).agg(F.first("fp").alias("fp"), F.first("at").alias("at"))
-    more = written(survivors(prefix_pairs(left, whole)), "pairs")
-    if not more.isEmpty():
-        links = written(links.unionByName(verified(more, whole)), "similar")
-        found = written(components(links), "roots")
-
-    every = own.join(found, own["least"] == found["node"], "left").select("same", F.coalesce("root", "least").alias("component_id"))
-    return made.select("doc_id", "same").join(every, "same").select("doc_id", "component_id")
+    """doc_id, component_id (smallest id of the documents it is connected to, itself included; null if none has one), for every row."""
+    return _grouped(_named(docs, text, key)).select("doc_id", F.col("id").alias("component_id"))
 
 
 def keep_representatives(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """The rows of ``docs``, all columns, less those that are a near copy of a smaller id. Of rows that repeat an id one stays; rows without an id stay."""
-    found = written(near_copies(docs, text, key), "components")
-    losers = found.groupBy("doc_id").agg(F.min("component_id").alias("component_id"), F.count("*").alias("n"))
-    gone = losers.where("doc_id <> component_id").select(F.col("doc_id").alias("__loser"))
-    kept = docs.join(gone, docs[key] == F.col("__loser"), "left_anti")
-    repeated = losers.where("doc_id = component_id and n > 1").select(F.col("doc_id").alias("__again"))
-    if repeated.isEmpty():
+    """The rows of ``docs``, all columns, of each group the one with the smallest id."""
+    id_name, mark_name = fresh(docs, "near_id"), fresh(docs, "near_mark")
+    found = written(_grouped(_named(docs, text, key)), "groups")
+    rows = found.groupBy("doc_id", "mark").agg(F.first("id").alias("id"), F.first("text_mark").alias("text_mark"), F.count("*").alias("n"))
+    rows = written(rows.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("mark") == F.col("text_mark"))).select(F.col("doc_id").alias(id_name), F.col("mark").alias(mark_name), "n", "kept"), "decisions")
+    here = lambda frame, names: frame[key].eqNullSafe(names[id_name]) & (F.md5(text_bytes(frame[text])) == names[mark_name])
+    gone = rows.where("not kept").select(id_name, mark_name)
+    kept = docs.join(gone, here(docs, gone), "left_anti")
+    again = rows.where("kept and n > 1").select(id_name, mark_name)
+    if again.isEmpty():
         return kept
-    again = kept.join(repeated, kept[key] == F.col("__again"), "left_semi").dropDuplicates([key])
-    return kept.join(repeated, kept[key] == F.col("__again"), "left_anti").unionByName(again)
+    one = kept.join(again, here(kept, again), "left_semi").dropDuplicates([key, text])
+    return kept.join(again, here(kept, again), "left_anti").unionByName(one)
