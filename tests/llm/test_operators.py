@@ -262,22 +262,45 @@ def brute_hits(text, items):
     return len(w), len(hit), sorted(found)
 
 
-@pytest.mark.parametrize("most", [50_000, 3])
+@pytest.mark.parametrize("most", [1_000_000, 3])
 def test_decontamination(spark, odd, monkeypatch, most):
-    monkeypatch.setattr(decontaminate, "MAX_TERMS", most)
-    texts = ["quick brown fox jumps over the lazy dog while éàü seventeen wizards", "Tea at Noon", "aaaa x y", None, "...", "w0 w2916", "tea at noon the quick brown fox jumps over the lazy dog while"]
-    bench = spark.createDataFrame([(i * 9, t, "x") for i, t in enumerate(texts)] + [(9, "Tea at Noon", "x")], "item_id long, text string, words string")
-    items = [(str(i * 9), words(t)) for i, t in enumerate(texts)]
-    got = sorted((str(r.doc_id), r.n_words, r.n_hit, list(r["items"])) for r in decontaminate.decontaminate(odd, bench).collect())
-    assert got == sorted((str(i), *brute_hits(t, items)) for i, t in pairs(odd)) and any(g[2] for g in got)
-    assert decontaminate.decontaminate(odd, bench.limit(0)).where("n_hit > 0").count() == 0 and decontaminate.decontaminate(odd.limit(0), bench).count() == 0
-
-
-def test_proximity(spark):
-    docs = spark.createDataFrame([(1, "tea x noon y y y y tea"), (2, "noon tea")], "doc_id long, text string")
-    items = decontaminate.item_words(spark.createDataFrame([(1, "tea noon")], "item_id long, text string"))
-    index = decontaminate.build_index(docs, items)
-    assert sorted(map(tuple, decontaminate.find_near(index, "tea", "noon", 2).collect())) == [(1, 0, 2), (2, 1, 0)]
+    monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", most)
+    texts = ["quick brown fox jumps over the lazy dog while éàü seventeen wizards", "Tea at Noon", "aaaa x y", None, "...", "w0 w2916", "tea at noon the quick brown fox jumps over the lazy dog while", "x", "fox quietly"]
+    bench = spark.createDataFrame([(i * 9, t, "x") for i, t in enumerate(texts)] + [(9, "Tea at Noon", "x"), (9, "play chess", "x"), (None, "lazy dog", "x")], "item_id long, text string, words string")
+    items = [(str(i * 9), words(t)) for i, t in enumerate(texts)] + [("9", ["play", "chess"]), ("", ["lazy", "dog"])]
+    got = sorted((str(r.doc_id), r.n_words, r.n_hit, list(r["items"]), r.n_near) for r in decontaminate.decontaminate(odd, bench).collect())
+    rows = pairs(odd)
+    of = {}
+    for _, t in rows:
+        for w in words(t):
+            of[w] = of.get(w, 0) + 1
+    rare = [sorted({w for i, ws in items if i == item for w in ws if w in of}, key=lambda w: (of[w], w))[:2] for item in {i for i, _ in items}]
+
+    def near(t):
+        places = {}
+        for n, w in enumerate(words(t)):
+            places.setdefault(w, []).append(n)
+        return sum(len(two) == 2 and any(abs(p - q) <= decontaminate.NEAR for p in places.get(two[0], ()) for q in places.get(two[1], ())) for two in rare)
+
+    expected = sorted((str(i), *brute_hits(t, items), near(t)) for i, t in rows)
+    assert got == expected and any(g[2] for g in got) and any(g[4] for g in got)
+    assert decontaminate.decontaminate(odd, bench.limit(0)).where("n_hit + n_near > 0").count() == 0 and decontaminate.decontaminate(odd.limit(0), bench).count() == 0
+    kept = decontaminate.drop_contaminated(odd.withColumn("bad_id", F.lit(1)), bench)
+    assert kept.columns == [*odd.columns, "bad_id"] and sorted(map(str, pairs(kept))) == sorted(str((i, t)) for i, t in rows if not brute_hits(t, items)[1])
+
+
+def test_rows_are_judged_by_id_and_text(spark):
+    docs = spark.createDataFrame([(None, "tea at noon"), (1, "tea at noon"), (1, "clean"), (None, "clean")], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, "tea at noon")], "item_id long, text string")
+    assert sorted(map(str, pairs(decontaminate.drop_contaminated(docs, bench)))) == ["(1, 'clean')", "(None, 'clean')"]
+
+
+def test_proximity_of_any_terms(spark):
+    docs = spark.createDataFrame([(1, "tea x noon y y y y tea"), (2, "noon tea"), (3, "tea")], "doc_id long, text string")
+    held, postings = decontaminate.build_index(docs)
+    assert sorted(map(tuple, decontaminate.find_near(held, postings, "tea", "noon", 2).collect())) == [(1, 0, 2), (2, 1, 0)]
+    assert sorted(map(tuple, decontaminate.find_near(held, postings, "x", "tea", 6).collect())) == [(1, 1, 0), (1, 1, 7)]
+    assert postings.count() == 11 and sorted(r.pos for r in postings.where("term = 'y'").collect()) == [3, 4, 5, 6]
 
 
 # --- 8

@@ -1,27 +1,34 @@
-"""Benchmark decontamination with a distributed positional index by document, in DataFrame operations only.
+"""Benchmark decontamination with a distributed positional inverted index, in DataFrame operations only.
 
-``build_index`` reads the training texts once and stores, per document, the postings (position, term) of every term that
-the benchmark has, in word order: a forward index, without lists by term. ``find_phrases`` counts each term's postings, takes
-of every benchmark window its rarest term as anchor, and reads only the postings of anchors, each with the document's other
-postings around it. These are compared outwards from the anchor, so a posting is abandoned at the first term that is
-missing. ``find_near`` answers proximity queries from the same index.
+``build_index`` reads the training texts once and stores the postings (term, row, pos) of every token, whatever the benchmark,
+partitioned by documents: each file is an inverted index of its own documents, its postings in the order of the terms'
+hashes, so that a term's list is contiguous and a look-up skips row groups that don't have the term. Nothing is shuffled.
+
+``lists_of`` reads the benchmark's terms' lists from it and counts them, ``find_phrases`` orders each window's terms by that, rarest first. The lists
+of the rarest terms, each moved back by its term's place, give the alignments of windows with documents; these are intersected
+with the list of the second rarest term, likewise moved, and what is left with those of all other terms. Frequent terms' lists
+are therefore read only where an alignment needs them. ``find_near`` answers proximity queries for any two terms,
+``near_items`` whether an item's two rarest terms come near each other.
 
 A window is ``width`` consecutive words of an item; an item with fewer words, but not none, is one window. Words are taken
-from the text with A-Z lower-cased; a null text has none. Items that repeat an id count once. Up to ``MAX_TERMS`` benchmark
-terms are filtered as a set within the scan; a larger benchmark vocabulary is not cut down: then all terms are indexed.
+from the text with A-Z lower-cased; a null text has none. Items that repeat an id count once, with all their texts; a null id
+is ''. Rows that repeat an id are told apart. Empty tables have no hits. Extra columns are not read, or kept by
+``drop_contaminated`` whatever their names. A side of a join is broadcast if it was counted and has BROADCAST_ROWS at most;
+beyond that, terms are salted by documents.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import fresh, text_bytes, written
 
 # All of ASCII but digits and small letters parts words, once capitals are lower-cased; NUL is replaced beforehand.
 _PARTS = "".join(chr(i) for i in range(1, 128) if not chr(i).isalnum())
 _CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-WIDTH, MAX_TERMS = 10, 50_000
+WIDTH, NEAR = 10, 10
+BROADCAST_ROWS, SALTS = 200_000, 64
 
 
 def words(text: Column) -> Column:
@@ -37,86 +44,119 @@ def item_words(items: DataFrame, text: str = "text", key: str = "item_id", width
     return table.where(F.size("words") > 0).distinct().withColumn("need", F.least(F.size("words"), F.lit(width)))
 
 
-def _listed(frame: DataFrame, column: str) -> list[str] | None:
-    """The distinct values, if they are few enough to be written into a plan."""
-    found = [r[0] for r in frame.select(column).distinct().limit(MAX_TERMS + 1).collect()]
-    return found if len(found) <= MAX_TERMS else None
+def build_index(docs: DataFrame, text: str = "text", key: str = "doc_id") -> tuple[DataFrame, DataFrame]:
+    """(documents: row, doc_id, mark, words; postings: term, row, pos), both stored in the shared folder."""
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(key).alias("doc_id"), F.md5(text_bytes(F.col(text))).alias("mark"), words(F.col(text)).alias("words"))
+    held = written(rows, "words")
+    postings = held.select("row", F.posexplode("words").alias("pos", "term")).select("term", "row", "pos")
+    return held, written(postings.sortWithinPartitions(F.xxhash64("term")), "postings")
+
+
+def _few(frame: DataFrame) -> bool:
+    return frame.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+
+
+def _by_term(postings: DataFrame, asked: DataFrame) -> DataFrame:
+    """Postings joined with ``asked`` on the term. A frequent term's list is dealt over SALTS tasks where ``asked`` is too large to be broadcast."""
+    if _few(asked):
+        return postings.join(F.broadcast(asked), "term")
+    salted = asked.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return postings.withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(SALTS)).cast("int")).join(salted, ["term", "salt"]).drop("salt")
 
 
-def build_index(docs: DataFrame, items: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """row (unique), doc_id, n_words, postings array<struct<pos, term>> by position; stored in the shared folder."""
-    terms = _listed(items.select(F.explode("words").alias("term")), "term")
-    posting = F.transform("words", lambda w, i: F.struct(i.alias("pos"), w.alias("term")))
-    kept = posting if terms is None else F.filter(posting, lambda p: p["term"].isin(terms) if terms else F.lit(False))
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(key).alias("doc_id"), words(F.col(text)).alias("words"))
-    return written(rows.select("row", "doc_id", F.size("words").alias("n_words"), kept.alias("postings")), "postings")
+def _intersected(postings: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows of ``wanted`` (row, pos, term and others) that have a posting."""
+    terms, rows = written(wanted.select("term").distinct(), "terms"), written(wanted.select("row").distinct(), "rows")
+    some = postings
+    for column, found in (("term", terms), ("row", rows)):
+        if _few(found):  # otherwise the join below sees all postings
+            some = some.join(F.broadcast(found), column, "left_semi")
+    return wanted.join(some, ["row", "pos", "term"], "left_semi")
 
 
-def _anchors(index: DataFrame, items: DataFrame, width: int) -> DataFrame:
-    """item, place, term, words, need: the places that are the rarest of some window. Windows with a term that no document has are left out."""
-    found = index.select(F.explode("postings.term").alias("term")).groupBy("term").count()
-    placed = items.select("item", "words", "need", F.posexplode("words").alias("place", "term"))
-    counted = placed.join(found, "term", "left").select("item", "words", "need", "place", "term", F.coalesce("count", F.lit(0)).alias("n"))
-    # A window is known by its first place; each place belongs to `need` windows at most.
-    starts = counted.select("*", F.explode(F.sequence(F.greatest(F.lit(0), F.col("place") - F.col("need") + 1), F.least(F.col("place"), F.size("words") - F.col("need")))).alias("start"))
-    rank = Window.partitionBy("item", "words", "start").orderBy("n", "term", "place")
-    rarest = starts.withColumn("rank", F.row_number().over(rank)).where("rank = 1 and n > 0")
-    return rarest.select("item", "words", "need", "place", "term").distinct()
+def lists_of(postings: DataFrame, items: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(the posting lists of the items' terms, read from the index once; term, n: how many postings each has, if any)."""
+    terms = written(items.select(F.explode("words").alias("term")).distinct(), "terms")
+    lists = written(postings.join(F.broadcast(terms) if _few(terms) else terms, "term", "left_semi"), "lists")
+    return lists, written(lists.groupBy("term").agg(F.count("*").alias("n")), "counts")
 
 
-def _extent(around: Column, centre: Column, words_: Column, place: Column, step: int, most: Column) -> Column:
-    """How many terms on one side of the anchor are where the item has them, one list after the other."""
-    near = F.transform(F.sequence(F.lit(1), most), lambda k: k)
-    return F.when(
-        most > 0,
-        F.aggregate(
-            near, F.lit(0),
-            lambda n, k: F.when((n == k - 1) & (F.get(around, centre + step * k)["term"] == F.get(words_, place + step * k)) & (F.get(around, centre + step * k)["pos"] == F.get(around, centre)["pos"] + step * k), k).otherwise(n),
-        ),
-    ).otherwise(F.lit(0))
+def _windows(items: DataFrame, counts: DataFrame) -> DataFrame:
+    """window, item, start, need, terms (n, term, place; rarest first): the windows of which every term has postings."""
+    placed = items.select("item", "words", "need", F.posexplode("words").alias("place", "term")).join(counts, "term", "left")
+    first, last = F.greatest(F.lit(0), F.col("place") - F.col("need") + 1), F.least(F.col("place"), F.size("words") - F.col("need"))
+    starts = placed.select("item", "words", "need", F.explode(F.sequence(first, last)).alias("start"), F.struct(F.coalesce("n", F.lit(0)).alias("n"), "term", "place").alias("one"))
+    listed = starts.groupBy("item", "words", "start", "need").agg(F.sort_array(F.collect_list("one")).alias("terms")).where("terms[0].n > 0")
+    return written(listed.select(F.monotonically_increasing_id().alias("window"), "item", "start", "need", "terms"), "windows")
 
 
-def find_phrases(index: DataFrame, items: DataFrame, width: int = WIDTH) -> DataFrame:
+def find_phrases(postings: DataFrame, items: DataFrame, width: int = WIDTH, read: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
     """row, ranges (array of [first, last] word positions within occurrences), items (sorted ids): documents with an occurrence of a window."""
-    anchors = written(_anchors(index, items, width), "anchors")
-    terms = _listed(anchors, "term")
-    wanted = lambda p, k: k if terms is None else F.when(p["term"].isin(terms) if terms else F.lit(False), k)
-    hits = F.filter(F.transform("postings", wanted), lambda k: k.isNotNull())
-    context = F.transform(hits, lambda k: F.struct(F.least(k, F.lit(width - 1)).alias("centre"), F.slice("postings", F.greatest(k - (width - 1), F.lit(0)) + 1, 2 * width - 1).alias("around")))
-    posted = index.where(F.size("postings") > 0).select("row", F.explode(context).alias("hit")).select("row", "hit.*").withColumn("term", F.get("around", F.col("centre"))["term"])
-    pairs = posted.join(anchors, "term")
-    left = _extent(F.col("around"), F.col("centre"), F.col("words"), F.col("place"), -1, F.least("centre", "place", F.col("need") - 1))
-    right = _extent(F.col("around"), F.col("centre"), F.col("words"), F.col("place"), 1, F.least(F.size("around") - 1 - F.col("centre"), F.size("words") - 1 - F.col("place"), F.col("need") - 1))
-    sides = pairs.select("row", "item", "need", F.get("around", F.col("centre"))["pos"].alias("pos"), left.alias("left"), right.alias("right")).where("left + right + 1 >= need")
-    found = sides.select("row", "item", F.struct((F.col("pos") - F.col("left")).alias("first"), (F.col("pos") + F.col("right")).alias("last")).alias("range"))
+    postings, counts = read or lists_of(postings, items)
+    windows = _windows(items, counts)
+    known = F.broadcast(windows) if _few(windows) else windows
+    rarest = windows.select("window", "need", F.get("terms", F.lit(0))["term"].alias("term"), F.get("terms", F.lit(0))["place"].alias("place"))
+    # `base` is where the item would begin in the document.
+    aligned = written(_by_term(postings, rarest).select("window", "need", "row", (F.col("pos") - F.col("place")).alias("base")), "aligned")
+    at = lambda term: (term["term"].alias("term"), (F.col("base") + term["place"]).alias("pos"))
+    second = aligned.where("need > 1").join(known.select("window", "terms"), "window").select("window", "need", "row", "base", *at(F.get("terms", F.lit(1))))
+    two = written(_intersected(postings, second).select("window", "need", "row", "base"), "aligned")
+    others = two.where("need > 2").join(known.select("window", "terms"), "window").select("window", "need", "row", "base", F.explode(F.slice("terms", 3, width)).alias("one"))
+    rest = _intersected(postings, others.select("window", "need", "row", "base", *at(F.col("one"))))
+    whole = rest.groupBy("window", "need", "row", "base").agg(F.count("*").alias("n")).where("n = need - 2").select("window", "need", "row", "base")
+    every = whole.unionByName(two.where("need = 2")).unionByName(aligned.where("need = 1")).join(known.select("window", "item", "start"), "window")
+    found = every.select("row", "item", F.struct((F.col("base") + F.col("start")).alias("first"), (F.col("base") + F.col("start") + F.col("need") - 1).alias("last")).alias("range"))
     return found.groupBy("row").agg(F.sort_array(F.collect_set("range")).alias("ranges"), F.sort_array(F.collect_set("item")).alias("items"))
 
 
-def find_near(index: DataFrame, first: str, second: str, within: int) -> DataFrame:
-    """doc_id, pos, other: every pair of postings of two terms at most ``within`` words apart. Both terms must be indexed."""
-    a = index.select("row", "doc_id", F.explode("postings").alias("p")).where(F.col("p.term") == first).select("row", "doc_id", F.col("p.pos").alias("pos"))
-    b = index.select("row", F.explode("postings").alias("p")).where(F.col("p.term") == second).select("row", F.col("p.pos").alias("other"))
-    block = lambda c: F.floor(F.col(c) / (within + 1))  # noqa: E731  within reach: the same block or one beside it
-    left = a.withColumn("block", F.explode(F.array(block("pos") - 1, block("pos"), block("pos") + 1)))
-    return left.join(b.withColumn("block", block("other")), ["row", "block"]).where((F.abs(F.col("pos") - F.col("other")) <= within) & (F.col("pos") != F.col("other"))).select("doc_id", "pos", "other")
+def _close(left: DataFrame, right: DataFrame, on: list[str], within: int) -> DataFrame:
+    """Rows of ``left`` (with pos) and ``right`` (with other) at most ``within`` words apart: in the same block of words or one beside it."""
+    block = lambda c: F.floor(F.col(c) / (within + 1))
+    dealt = left.withColumn("block", F.explode(F.array(block("pos") - 1, block("pos"), block("pos") + 1)))
+    return dealt.join(right.withColumn("block", block("other")), [*on, "block"]).where((F.abs(F.col("pos") - F.col("other")) <= within) & (F.col("pos") != F.col("other"))).drop("block")
+
+
+def find_near(held: DataFrame, postings: DataFrame, first: str, second: str, within: int) -> DataFrame:
+    """doc_id, pos, other: every pair of postings of two terms at most ``within`` words apart."""
+    a = postings.where(F.col("term") == first).select("row", "pos")
+    b = postings.where(F.col("term") == second).select("row", F.col("pos").alias("other"))
+    return _close(a, b, ["row"], within).join(held.select("row", "doc_id"), "row").select("doc_id", "pos", "other")
+
+
+def near_items(postings: DataFrame, counts: DataFrame, items: DataFrame, within: int = NEAR) -> DataFrame:
+    """row, n_near: how many items have their two rarest terms (ties: the smaller) at most ``within`` words apart in a document. Items of one term have none."""
+    terms = items.select("item", F.explode("words").alias("term")).distinct().join(counts, "term")
+    two = terms.groupBy("item").agg(F.slice(F.sort_array(F.collect_list(F.struct("n", "term"))), 1, 2).alias("two")).where("size(two) = 2")
+    both = written(_by_term(postings, two.select("item", F.posexplode("two").alias("side", "one")).select("item", "side", "one.term")), "rarest")
+    side = lambda n, c: both.where(F.col("side") == n).select("row", "item", F.col("pos").alias(c))
+    found = _close(side(0, "pos"), side(1, "other"), ["row", "item"], within)
+    return found.groupBy("row").agg(F.count_distinct("item").alias("n_near"))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", key: str = "doc_id", item_text: str = "text", item_key: str = "item_id", width: int = WIDTH) -> DataFrame:
-    """doc_id, n_words, n_hit, ranges, items for every row of ``docs``."""
+    """doc_id, mark, n_words, n_hit, ranges, items, n_near for every row of ``docs``."""
     items = written(item_words(benchmark, item_text, item_key, width), "items")
-    index = build_index(docs, items, text, key)
-    found = find_phrases(index, items, width)
+    held, postings = build_index(docs, text, key)
+    read = lists_of(postings, items)
+    found = written(find_phrases(postings, items, width, read), "found")
     covered = F.aggregate(
         "ranges",
         F.struct(F.lit(-1).alias("end"), F.lit(0).alias("n")),
         lambda acc, r: F.struct(F.greatest(acc["end"], r["last"]).alias("end"), (acc["n"] + F.greatest(F.lit(0), r["last"] - F.greatest(acc["end"], r["first"] - 1))).alias("n")),
         lambda acc: acc["n"],
     )
-    joined = index.select("row", "doc_id", "n_words").join(found, "row", "left")
-    return joined.select("doc_id", F.col("n_words").cast("long").alias("n_words"), F.coalesce(covered, F.lit(0)).cast("long").alias("n_hit"), "ranges", F.coalesce("items", F.array().cast("array<string>")).alias("items"))
+    joined = held.select("row", "doc_id", "mark", F.size("words").alias("n_words")).join(found, "row", "left").join(near_items(*read, items), "row", "left")
+    return joined.select(
+        "doc_id", "mark", F.col("n_words").cast("long").alias("n_words"), F.coalesce(covered, F.lit(0)).cast("long").alias("n_hit"), "ranges",
+        F.coalesce("items", F.array().cast("array<string>")).alias("items"), F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"),
+    )
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """``docs``, all columns, less the rows whose id has a hit. Rows without an id stay."""
-    bad = decontaminate(docs, benchmark, text, key).where("n_hit > 0").select(F.col("doc_id").alias("__bad")).distinct()
-    return docs.join(written(bad, "contaminated"), docs[key] == F.col("__bad"), "left_anti")
+    """``docs``, all columns, less the rows with a hit. A row is known by its id and text, so rows without an id are judged too, and a clean row that shares another's id stays."""
+    items = written(item_words(benchmark), "items")
+    held, postings = build_index(docs, text, key)
+    found = find_phrases(postings, items)
+    id_name, mark_name = fresh(docs, "bad_id"), fresh(docs, "bad_mark")
+    bad = written(held.select("row", F.col("doc_id").alias(id_name), F.col("mark").alias(mark_name)).join(found.select("row"), "row", "left_semi").select(id_name, mark_name).distinct(), "contaminated")
+    return docs.join(bad, docs[key].eqNullSafe(bad[id_name]) & (F.md5(text_bytes(docs[text])) == bad[mark_name]), "left_anti")

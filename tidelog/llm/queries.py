@@ -54,7 +54,7 @@ def op6_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
-    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"), "n_near")
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -102,10 +102,13 @@ places AS (SELECT doc_id, n, s, array_to_string(list_slice(w, s, s + n - 1), ' '
            FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS s FROM d, sizes WHERE len(w) >= n)),
 hits AS (SELECT doc_id, s, p.n, item FROM places p JOIN wins v ON v.n = p.n AND v.win = p.win),
 words_hit AS (SELECT doc_id, count(DISTINCT pos) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + n)) AS pos FROM hits) GROUP BY doc_id),
+tw AS (SELECT doc_id, unnest(w) AS term, unnest(range(1, len(w) + 1)) AS pos FROM d),
+pick AS (SELECT item, term, row_number() OVER (PARTITION BY item ORDER BY n, term) AS k FROM (SELECT DISTINCT item, unnest(w) AS term FROM b) JOIN (SELECT term, count(*) AS n FROM tw GROUP BY term) USING (term)),
+near AS (SELECT x.doc_id, count(DISTINCT p.item) AS n_near FROM pick p JOIN pick q ON q.item = p.item AND p.k = 1 AND q.k = 2 JOIN tw x ON x.term = p.term JOIN tw y ON y.term = q.term AND y.doc_id = x.doc_id AND abs(x.pos - y.pos) <= {decontaminate.NEAR} GROUP BY x.doc_id),
 items AS (SELECT doc_id, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS listed FROM hits GROUP BY doc_id)
 SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
-       sha256(coalesce(listed, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
-FROM d LEFT JOIN words_hit USING (doc_id) LEFT JOIN items USING (doc_id)"""
+       sha256(coalesce(listed, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated, CAST(coalesce(n_near, 0) AS BIGINT) AS n_near
+FROM d LEFT JOIN words_hit USING (doc_id) LEFT JOIN items USING (doc_id) LEFT JOIN near USING (doc_id)"""
 
 
 def _op10_sql() -> str:
