@@ -118,14 +118,19 @@ def _op10_sql() -> str:
         f"""d AS (SELECT doc_id, source, lang, {topic} AS topic, CAST(len(regexp_extract_all(t, '[^ \\t\\n\\r]+')) AS BIGINT) AS n_tokens
   FROM (SELECT doc_id, coalesce(source, '') AS source, coalesce(lang, '') AS lang, coalesce(text, '') AS t FROM documents))""",
         "c AS (SELECT source, lang, topic, sum(n_tokens) AS tokens FROM d GROUP BY ALL)",
-        *(f"m_{x} AS (SELECT {x}, pow(CAST(mass AS DOUBLE), {mixing.TEMPERATURE}) / sum(pow(CAST(mass AS DOUBLE), {mixing.TEMPERATURE})) OVER () AS want_{x} FROM (SELECT {x}, sum(tokens) AS mass FROM c GROUP BY ALL))" for x in mixing.DIMENSIONS),
-        "r0 AS MATERIALIZED (SELECT c.*, CAST(tokens AS DOUBLE) AS weight, CAST((SELECT sum(tokens) FROM c) AS DOUBLE) AS total, want_source, want_lang, want_topic FROM c JOIN m_source USING (source) JOIN m_lang USING (lang) JOIN m_topic USING (topic))",
+        *(
+            f"""a_{x} AS (SELECT {x}, mass, mass / (sum(mass) OVER () * {mixing.RATE}) AS high, pow(CAST(mass AS DOUBLE), {mixing.TEMPERATURE}) AS part FROM (SELECT {x}, sum(tokens) AS mass FROM c GROUP BY ALL) WHERE mass > 0),
+l_{x} AS (SELECT *, (1.0 - coalesce(sum(high) OVER (ORDER BY mass RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) / sum(part) OVER (ORDER BY mass RANGE BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM a_{x}),
+m_{x} AS (SELECT {x}, CASE WHEN reached IS NULL THEN high ELSE least(high, reached * part) END AS want_{x} FROM (SELECT *, min_by(level, mass) FILTER (level * part <= high) OVER () AS reached FROM l_{x}))"""
+            for x in mixing.DIMENSIONS
+        ),
+        "r0 AS MATERIALIZED (SELECT c.*, CAST(tokens AS DOUBLE) AS weight, CAST((SELECT sum(tokens) FROM c) AS DOUBLE) AS total, coalesce(want_source, 0) AS want_source, coalesce(want_lang, 0) AS want_lang, coalesce(want_topic, 0) AS want_topic FROM c LEFT JOIN m_source USING (source) LEFT JOIN m_lang USING (lang) LEFT JOIN m_topic USING (topic))",
     ]
     n = 0
     for _ in range(mixing.ROUNDS):
         for x in mixing.DIMENSIONS:
             n += 1
-            steps.append(f"r{n} AS MATERIALIZED (SELECT * REPLACE (CASE WHEN sum(weight) OVER (PARTITION BY {x}) > 0 THEN weight * (want_{x} * total / sum(weight) OVER (PARTITION BY {x})) ELSE 0 END AS weight) FROM r{n - 1})")
+            steps.append(f"r{n} AS MATERIALIZED (SELECT * REPLACE (CASE WHEN sum(weight) OVER (PARTITION BY {x}) > 0 THEN least(tokens / {mixing.RATE}, weight * (want_{x} * total / sum(weight) OVER (PARTITION BY {x}))) ELSE 0 END AS weight) FROM r{n - 1})")
     return (
         "WITH " + ",\n".join(steps) + f""",
 p AS (SELECT source, lang, topic, least(1.0, {mixing.RATE} * coalesce(weight / nullif(CAST(tokens AS DOUBLE), 0), 1.0)) AS probability FROM r{n})
@@ -135,6 +140,31 @@ FROM d JOIN p USING (source, lang, topic)"""
     )
 
 
+def _op5_sql() -> str:
+    """Places are counted off the parts between matches. The checksum is worked out bit by bit over the few tokens that have one."""
+    words = "|".join("".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in w) for w in ("password", "passwd", "secret", "token", "api")).replace("[Aa][Pp][Ii]", "[Aa][Pp][Ii]_?[Kk][Ee][Yy]")
+    assign = f"({words})[\"'']?\\x20*[:=]\\x20*[\"'']?([A-Za-z0-9+/_.=-]+)"
+    kinds = [
+        ("assign", assign, f"length(regexp_extract(m, '{assign}', 2)) >= 6"), ("access", "AKIA[A-Z0-9]+", "length(m) >= 20"), ("hex", "[0-9a-f]+", "length(m) >= 24"),
+        ("github", "gh[pousr]_[A-Za-z0-9]{36}", "TRUE"), ("npm", "npm_[A-Za-z0-9]{36}", "TRUE"),
+    ]
+    found = " UNION ALL ".join(f"SELECT doc_id, row_no, '{k}' AS kind, {n} AS k, string_split_regex(t, '{p}') AS parts, regexp_extract_all(t, '{p}') AS ms, t FROM d" for n, (k, p, _) in enumerate(kinds))
+    keep = " OR ".join(f"(kind = '{k}' AND {test})" for k, _, test in kinds[:3])
+    digits = "'0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz'"
+    return f"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS row_no, coalesce(text, '') AS t FROM documents),
+found AS ({found}),
+places AS (SELECT doc_id, row_no, kind, k, t, ms, parts, unnest(range(1, len(ms) + 1)) AS i FROM found),
+spans AS (SELECT doc_id, row_no, kind, k, t, ms[i] AS m, CAST(list_sum(list_transform(parts[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(ms[1:i - 1], lambda x: length(x))), 0) AS BIGINT) AS a FROM places),
+checked AS (SELECT *, list_reduce(list_concat([CAST(4294967295 AS BIGINT)], list_transform(range(1, 31), lambda i: CAST(ord(substr(right(m, 36), i, 1)) AS BIGINT))), lambda c, x: list_reduce(list_concat([xor(c, x)], CAST([0, 0, 0, 0, 0, 0, 0, 0] AS BIGINT[])), lambda y, z: xor(y >> 1, CASE WHEN y % 2 = 1 THEN CAST(3988292384 AS BIGINT) ELSE CAST(0 AS BIGINT) END))) AS crc FROM spans WHERE k >= 3 AND NOT regexp_matches(substr(t, a + length(m) + 1, 1), '[A-Za-z0-9]')),
+fits AS (SELECT * FROM checked WHERE right(m, 6) = array_to_string(list_transform(range(5, -1, -1), lambda e: substr({digits}, CAST((xor(crc, CAST(4294967295 AS BIGINT)) // CAST(pow(62, e) AS BIGINT)) % 62 + 1 AS BIGINT), 1)), '')),
+every AS (SELECT doc_id, row_no, kind, k, a, a + length(m) AS b FROM spans WHERE {keep} UNION ALL SELECT doc_id, row_no, kind, k, a, a + length(m) FROM fits),
+told AS (SELECT row_no, count_if(kind = 'assign') AS n_assign, count_if(kind = 'access') AS n_access, count_if(kind = 'hex') AS n_hex,
+  coalesce(string_agg(kind || ':' || a || ':' || b, ',' ORDER BY a, k) FILTER (k < 3), '') AS base, string_agg(kind || ':' || a || ':' || b, ',' ORDER BY a, k) AS spans FROM every GROUP BY row_no)
+SELECT d.doc_id, CAST(coalesce(n_assign, 0) AS BIGINT) AS n_assign, CAST(coalesce(n_access, 0) AS BIGINT) AS n_access, CAST(coalesce(n_hex, 0) AS BIGINT) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN told USING (row_no)"""
+
+
 def _op1_sql() -> str:
     """Windows of the texts as hexadecimal, by a 64-bit hash each: the small table that the SQL check reads has 2 million."""
     return """
@@ -150,4 +180,4 @@ SELECT d.doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed
 FROM d LEFT JOIN kept USING (doc_id)"""
 
 
-ORACLES: dict[str, str] = {"op1_suffix_dedup": _op1_sql(), "op3_url_filter": _op3_sql(), "op7_decontaminate": _op7_sql(), "op10_mixing": _op10_sql()}
+ORACLES: dict[str, str] = {"op1_suffix_dedup": _op1_sql(), "op3_url_filter": _op3_sql(), "op5_secret_scan": _op5_sql(), "op7_decontaminate": _op7_sql(), "op10_mixing": _op10_sql()}

@@ -2,7 +2,8 @@
 
 Kinds, in order: ``assign``, ``access``, ``hex`` (base kinds), then ``github`` and ``npm``, whose tokens end in a base-62
 CRC-32 of their body and are kept only if it fits. Matches are leftmost and do not overlap within a kind. Spans count code
-points, ends exclusive. A null or empty text has no spans. Whole texts are scanned in one narrow pass without a shuffle.
+points, ends exclusive. A null or empty text has no spans. Whole texts are scanned in one narrow pass without a shuffle. Rows that repeat an id keep a row each; an empty
+table gives no rows; other columns aren't read.
 """
 
 from __future__ import annotations

@@ -4,6 +4,8 @@ The rule list is a parameter of bounded size (``MAX_RULES``), so the trie may be
 A rule fits its host and every subdomain of it when the url's path starts with the rule's path; among the rules that
 fit, the one with the longest host wins, then the longest path; between equal allow and block entries block wins.
 Null urls and urls without ``://`` have an empty host and path, and fit no rule; they get ``default``.
+Urls of any length are judged whole; rows that repeat an id keep a row each; an empty table gives no rows; other columns
+aren't read.
 """
 
 from __future__ import annotations
