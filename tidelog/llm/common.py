@@ -6,7 +6,8 @@ import sys
 import tempfile
 import types
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -42,9 +43,33 @@ def written_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     spark = df.sparkSession
     path = scratch(spark, name)
     df.write.parquet(path)
+    if _PASSING:
+        _PASSING[-1].append(path)
     return spark.read.schema(df.schema).parquet(path), path
 
 
+_PASSING: list[list[str]] = []
+
+
+@contextmanager
+def passing(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """What is ``written`` within goes at the end; what the yielded function writes, and results need, stays."""
+    mine: list[str] = []
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        found, path = written_at(df, name)
+        mine.remove(path)
+        return found
+
+    _PASSING.append(mine)
+    try:
+        yield kept
+    finally:
+        _PASSING.remove(mine)
+        for path in mine:
+            drop_path(spark, path)
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """``name``, or the like that ``df`` doesn't have as a column."""
     taken = {c.lower() for c in df.columns}

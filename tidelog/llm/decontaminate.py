@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, text_bytes, written
+from .common import fresh, passing, text_bytes, written
 
 # All of ASCII but digits and small letters parts words, once capitals are lower-cased; NUL is replaced beforehand.
 _PARTS = "".join(chr(i) for i in range(1, 128) if not chr(i).isalnum())
@@ -154,9 +154,10 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", key
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """``docs``, all columns, less the rows with a hit. A row is known by its id and text, so rows without an id are judged too, and a clean row that shares another's id stays."""
-    items = written(item_words(benchmark), "items")
-    held, postings = build_index(docs, text, key)
-    found = find_phrases(postings, items)
     id_name, mark_name = fresh(docs, "bad_id"), fresh(docs, "bad_mark")
-    bad = written(held.select("row", F.col("doc_id").alias(id_name), F.col("mark").alias(mark_name)).join(found.select("row"), "row", "left_semi").select(id_name, mark_name).distinct(), "contaminated")
+    with passing(docs.sparkSession) as kept:
+        items = written(item_words(benchmark), "items")
+        held, postings = build_index(docs, text, key)
+        found = find_phrases(postings, items)
+        bad = kept(held.select("row", F.col("doc_id").alias(id_name), F.col("mark").alias(mark_name)).join(found.select("row"), "row", "left_semi").select(id_name, mark_name).distinct(), "contaminated")
     return docs.join(bad, docs[key].eqNullSafe(bad[id_name]) & (F.md5(text_bytes(docs[text])) == bad[mark_name]), "left_anti")

@@ -7,11 +7,11 @@ Such texts differ in about ten of a 64-bit SimHash's bits, which no key over fin
 2. Prefixes: all shingles have one order, rare ones first. In it the first common shingle of two similar sets is among the
    first n - 0.8 n + 1 of each, and at least 4/9 of both sizes' sum must follow in both. Each text is filed under the shingles
    of its prefix. A key's texts are first compared with one of them; then, where a key still holds several components, with
-   ``LEADERS`` of its texts, and with as many of different components; what is still apart is compared with each other. So any two similar
+   ``LEADERS`` of its texts; what is still apart is compared with each other. So any two similar
    texts end in one component, whatever the first step missed, and a large group of copies isn't compared in pairs.
 
-Between the texts of a key a sketch decides first: 512 bits, each the parity of how many of a text's shingles fall into one of
-512 classes. Where two sketches differ a shingle is in one set only, so of similar sets they differ in a ninth of both sizes'
+Between the texts of a key a sketch decides first: 256 bits, each the parity of how many of a text's shingles fall into one of
+256 classes. Where two sketches differ a shingle is in one set only, so of similar sets they differ in a ninth of both sizes'
 sum at most: this bound loses no pair either. A pair is verified by its whole sets (64-bit hashes of the shingles). Pairs are not made of texts that are in one component
 already. What many unlike texts share, such as a long passage, comes late in the order and makes no pairs; rarity is counted
 over all texts by ``2 ** RARITY_BITS`` ranges of the hash, a table of fixed size, and is a matter of speed only. Texts of one
@@ -37,14 +37,14 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import fresh, join_by_size, text_bytes, written
+from .common import fresh, join_by_size, passing, text_bytes, written
 from .simhash import components, link_table, majority
 
 WIDTH, SEED = 5, 7
 RARITY_BITS, SLICES = 18, 64
 GROUP_SHINGLES = 20_000
-LEADERS, TURNS = 16, 2
-PARITY = tuple(f"p{i}" for i in range(8))
+LEADERS = 16
+PARITY = tuple(f"p{i}" for i in range(4))
 
 
 def word_list(text: bytes) -> list[bytes]:
@@ -72,8 +72,8 @@ def prefix_length(n: np.ndarray) -> np.ndarray:
 
 
 def parities(hashes: np.ndarray) -> np.ndarray:
-    """The sketch as eight words: whether each of 512 classes of the hash has an odd number."""
-    odd = np.bincount((hashes >> np.uint64(20)).astype(np.int64) & 511, minlength=512) & 1
+    """The sketch as four words: whether each of 256 classes of the hash has an odd number."""
+    odd = np.bincount((hashes >> np.uint64(20)).astype(np.int64) & 255, minlength=256) & 1
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
@@ -107,8 +107,8 @@ def sketches(named: DataFrame) -> DataFrame:
                     hashes.append(found)
                 sizes = np.array([len(h) for h in hashes], np.int64)
                 fps = majority(np.concatenate([*hashes, np.empty(0, np.uint64)]), sizes)
-                none, words_of = pa.nulls(len(same)), np.asarray([parities(h) for h in hashes]).reshape(-1, 8)
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(same, pa.binary()), pa.array(fps.view(np.int64)), pa.array(sizes, pa.int32()), *(pa.array(words_of[:, i]) for i in range(8)), none.cast(pa.int32()), none.cast(pa.binary())], kind.names)
+                none, words_of = pa.nulls(len(same)), np.asarray([parities(h) for h in hashes]).reshape(-1, 4)
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(same, pa.binary()), pa.array(fps.view(np.int64)), pa.array(sizes, pa.int32()), *(pa.array(words_of[:, i]) for i in range(4)), none.cast(pa.int32()), none.cast(pa.binary())], kind.names)
         filled = [i for i in range(SLICES) if total[i * slice_size : (i + 1) * slice_size].any()]
         columns = [pa.nulls(len(filled), of_id), *(pa.nulls(len(filled), f.type) for f in list(kind)[1:-2])]
         blobs = [total[i * slice_size : (i + 1) * slice_size].astype("<u4").tobytes() for i in filled]
@@ -240,36 +240,29 @@ def _grouped(named: DataFrame) -> DataFrame:
     links = verified(bits.unionByName(equal), texts, named)
     roots = written(components(links), "roots")
 
-    # Prefixes: each key's texts against its first one.
-    filed = written(prefixes(named, rarity(everything)), "prefixes")
-    first = F.min(F.struct("same", "n", "rest")).alias("first")
-    keys = written(filed.groupBy("key").agg(first, F.max("same").alias("last"), F.count("*").alias("m")).where("first.same <> last").select("key", "first", "m"), "keys")
-    members = join_by_size(filed, keys, "key", "m").select("key", "same", "n", "rest", F.col("first.same").alias("lead"), F.col("first.n").alias("lead_n"), F.col("first.rest").alias("lead_rest"))
-    members = written(members, "members")
+    # Prefixes: each key's texts against its first one. One shuffle; a key's rows are held on disk where they are many.
+    of_key = Window.partitionBy("key")
+    filed = prefixes(named, rarity(everything)).withColumn("lead", F.min(F.struct("same", "n", "rest")).over(of_key)).withColumn("last", F.max("same").over(of_key))
+    members = written(filed.where("lead.same <> last").select("key", "same", "n", "rest", F.col("lead.same").alias("lead"), F.col("lead.n").alias("lead_n"), F.col("lead.rest").alias("lead_rest")).distinct(), "members")
     enough = lambda n, rest, m, other: 9 * F.least(rest, other) >= 4 * (F.col(n) + F.col(m))
     apart = members.where("same <> lead").where(enough("n", "rest", "lead_n", "lead_rest")).select(F.col("lead").alias("a"), F.col("same").alias("b")).distinct()
     apart = _rooted(_rooted(apart, roots, "a"), roots, "b").where("a_at <> b_at")
     links = written(links.unionByName(verified(apart, texts, named)), "links")
     roots = written(components(links), "roots")
 
-    # Keys that still hold several components: their texts against a few leaders of different components, a few times.
+    # Keys that still hold several components: their texts against a few of them.
     side = lambda x, rows, *more: rows.select("key", F.col("same").alias(x), *(F.col(c).alias(f"{x}_{c}") for c in ("n", "rest", *PARITY)), F.col("same_at").alias(f"{x}_at"), *more)
     differ = sum((F.bit_count(F.col(f"a_{p}").bitwiseXOR(F.col(f"b_{p}"))) for p in PARITY), F.lit(0))
     close = enough("a_n", "a_rest", "b_n", "b_rest") & (9 * differ <= F.col("a_n") + F.col("b_n"))
-    left = written(members.select("key", "same", "n", "rest").distinct().join(texts.select("same", *PARITY), "same"), "left")
-    for turn in range(TURNS):
-        left = _mixed(left, roots)
-        if left.isEmpty():
-            break
-        by = "same" if turn == 0 else "same_at"  # any texts, so most are of the largest component; then texts of different components
-        order = Window.partitionBy("key").orderBy(F.xxhash64(by), by)
-        one = left if turn == 0 else left.groupBy("key", "same_at").agg(F.min(F.struct("same", "n", "rest", *PARITY)).alias("lead")).select("key", "same_at", "lead.*")
-        leaders = one.withColumn("place", F.row_number().over(order)).where(F.col("place") <= LEADERS)
-        listed = side("a", leaders).groupBy("key").agg(F.collect_list(F.struct("a", "a_n", "a_rest", "a_at", *(f"a_{p}" for p in PARITY))).alias("leaders"))
-        counted = written(listed.join(left.groupBy("key").agg(F.count("*").alias("m")), "key"), "leaders")
-        met = join_by_size(side("b", left), counted, "key", "m").select("*", F.explode("leaders").alias("leader")).select("*", "leader.*")
-        links = written(links.unionByName(verified(met.where((F.col("a_at") != F.col("b_at")) & close).select("a", "b"), texts, named)), "links")
-        roots = written(components(links), "roots")
+    left = _mixed(members.select("key", "same", "n", "rest"), roots).join(texts.select("same", *PARITY), "same")
+    left = written(left, "left")
+    order = Window.partitionBy("key").orderBy(F.xxhash64("same"), "same")
+    leaders = side("a", left.withColumn("place", F.row_number().over(order)).where(F.col("place") <= LEADERS))
+    listed = leaders.groupBy("key").agg(F.collect_list(F.struct("a", "a_n", "a_rest", "a_at", *(f"a_{p}" for p in PARITY))).alias("leaders"))
+    counted = written(listed.join(left.groupBy("key").agg(F.count("*").alias("m")), "key"), "leaders")
+    met = join_by_size(side("b", left), counted, "key", "m").select("*", F.explode("leaders").alias("leader")).select("*", "leader.*")
+    links = written(links.unionByName(verified(met.where((F.col("a_at") != F.col("b_at")) & close).select("a", "b"), texts, named)), "links")
+    roots = written(components(links), "roots")
     # What is still apart: against each other.
     left = _mixed(left, roots)
     more = written(side("a", left).join(side("b", left), "key").where((F.col("a_at") < F.col("b_at")) & close).select("a", "b").distinct(), "more")
@@ -285,15 +278,18 @@ def _grouped(named: DataFrame) -> DataFrame:
 
 def near_copies(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """doc_id, component_id (smallest id of the documents it is connected to, itself included; null if none has one), for every row."""
-    return _grouped(_named(docs, text, key)).select("doc_id", F.col("id").alias("component_id"))
+    with passing(docs.sparkSession) as kept:
+        return kept(_grouped(_named(docs, text, key)).select("doc_id", F.col("id").alias("component_id")), "near")
 
 
 def keep_representatives(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """The rows of ``docs``, all columns, of each group the one with the smallest id."""
     id_name, mark_name = fresh(docs, "near_id"), fresh(docs, "near_mark")
-    found = written(_grouped(_named(docs, text, key)), "groups")
-    rows = found.groupBy("doc_id", "mark").agg(F.first("id").alias("id"), F.first("text_mark").alias("text_mark"), F.count("*").alias("n"))
-    rows = written(rows.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("mark") == F.col("text_mark"))).select(F.col("doc_id").alias(id_name), F.col("mark").alias(mark_name), "n", "kept"), "decisions")
+    with passing(docs.sparkSession) as stays:
+        found = written(_grouped(_named(docs, text, key)), "groups")
+        rows = found.groupBy("doc_id", "mark").agg(F.first("id").alias("id"), F.first("text_mark").alias("text_mark"), F.count("*").alias("n"))
+        same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("mark") == F.col("text_mark"))
+        rows = stays(rows.withColumn("kept", same).select(F.col("doc_id").alias(id_name), F.col("mark").alias(mark_name), "n", "kept"), "decisions")
     here = lambda frame, names: frame[key].eqNullSafe(names[id_name]) & (F.md5(text_bytes(frame[text])) == names[mark_name])
     gone = rows.where("not kept").select(id_name, mark_name)
     kept = docs.join(gone, here(docs, gone), "left_anti")
