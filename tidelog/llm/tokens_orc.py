@@ -13,6 +13,7 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 from .common import held, scratch
 
 END_ID = 2
-CACHE_PIECES, SLICE_BYTES = 120_000, 4 << 20
+CACHE_PIECES, KEPT_PIECES, SLICE_BYTES = 120_000, 30_000, 4 << 20
 FILE_BYTES, MOST_FILES = 32 << 20, 20_000
 # Within these characters the tokenizer's rules are plain: normalising only lower-cases, and the pieces are its own pattern's.
 _OTHER = r"[^\t\n\r\x20-\x7e\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{ff}]|<\|"
@@ -62,6 +63,11 @@ class WordEncoder:
         self.new: dict[str, bytes] = {"": b""}
         self.old: dict[str, bytes] = {}
 
+    def trim(self) -> None:
+        """At a task's end: what was met first, and so mostly often, stays for the next one."""
+        self.new, self.old = dict(islice(self.new.items(), KEPT_PIECES)), {}
+        pa.default_memory_pool().release_unused()
+
     def _raw(self, text: str) -> bytes:
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
 
@@ -174,6 +180,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, text: str = "t
             for at in range(0, batch.num_rows, 2048):
                 to = slice(at, at + 2048)
                 yield pa.RecordBatch.from_arrays([keys[to], pa.array(shard[to], pa.int32()), pa.array(order[to]), pa.array(ids[to], pa.binary())], ["doc_id", "shard", "tie", "ids"])
+        encoder.trim()
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before, last = 0, None
