@@ -10,8 +10,8 @@ Such texts differ in about ten of a 64-bit SimHash's bits, which no key over fin
    ``LEADERS`` of its texts; what is still apart is compared with each other. So any two similar
    texts end in one component, whatever the first step missed, and a large group of copies isn't compared in pairs.
 
-Between the texts of a key a sketch decides first: 256 bits, each the parity of how many of a text's shingles fall into one of
-256 classes. Where two sketches differ a shingle is in one set only, so of similar sets they differ in a ninth of both sizes'
+Between the texts of a key a sketch decides first: 1,024 bits (folded to 256 where rows are many), each the parity of how many of a text's shingles
+fall into one of as many classes. Where two sketches differ a shingle is in one set only, so of similar sets they differ in a ninth of both sizes'
 sum at most: this bound loses no pair either. A pair is verified by its whole sets (64-bit hashes of the shingles). Pairs are not made of texts that are in one component
 already. What many unlike texts share, such as a long passage, comes late in the order and makes no pairs; rarity is counted
 over all texts by ``2 ** RARITY_BITS`` ranges of the hash, a table of fixed size, and is a matter of speed only. Texts of one
@@ -28,13 +28,13 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import partial
+from functools import partial, reduce
 from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import fresh, join_by_size, passing, text_bytes, written
@@ -44,7 +44,8 @@ WIDTH, SEED = 5, 7
 RARITY_BITS, SLICES = 18, 64
 GROUP_SHINGLES = 20_000
 LEADERS = 16
-PARITY = tuple(f"p{i}" for i in range(4))
+PARITY, FOLDED = tuple(f"p{i}" for i in range(16)), tuple(f"q{i}" for i in range(4))
+FEW_TEXTS = 200_000
 
 
 def word_list(text: bytes) -> list[bytes]:
@@ -72,8 +73,8 @@ def prefix_length(n: np.ndarray) -> np.ndarray:
 
 
 def parities(hashes: np.ndarray) -> np.ndarray:
-    """The sketch as four words: whether each of 256 classes of the hash has an odd number."""
-    odd = np.bincount((hashes >> np.uint64(20)).astype(np.int64) & 255, minlength=256) & 1
+    """The sketch as sixteen words: whether each of 1,024 classes of the hash has an odd number."""
+    odd = np.bincount((hashes >> np.uint64(20)).astype(np.int64) & 1023, minlength=1024) & 1
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
@@ -107,8 +108,8 @@ def sketches(named: DataFrame) -> DataFrame:
                     hashes.append(found)
                 sizes = np.array([len(h) for h in hashes], np.int64)
                 fps = majority(np.concatenate([*hashes, np.empty(0, np.uint64)]), sizes)
-                none, words_of = pa.nulls(len(same)), np.asarray([parities(h) for h in hashes]).reshape(-1, 4)
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(same, pa.binary()), pa.array(fps.view(np.int64)), pa.array(sizes, pa.int32()), *(pa.array(words_of[:, i]) for i in range(4)), none.cast(pa.int32()), none.cast(pa.binary())], kind.names)
+                none, words_of = pa.nulls(len(same)), np.asarray([parities(h) for h in hashes]).reshape(-1, 16)
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(same, pa.binary()), pa.array(fps.view(np.int64)), pa.array(sizes, pa.int32()), *(pa.array(words_of[:, i]) for i in range(16)), none.cast(pa.int32()), none.cast(pa.binary())], kind.names)
         filled = [i for i in range(SLICES) if total[i * slice_size : (i + 1) * slice_size].any()]
         columns = [pa.nulls(len(filled), of_id), *(pa.nulls(len(filled), f.type) for f in list(kind)[1:-2])]
         blobs = [total[i * slice_size : (i + 1) * slice_size].astype("<u4").tobytes() for i in filled]
@@ -166,18 +167,28 @@ def prefixes(named: DataFrame, counts: np.ndarray) -> DataFrame:
     return named.select("text").mapInArrow(run, "key long, same binary, n int, rest int")
 
 
+def _may_be_similar(sketch: tuple[str, ...]) -> Column:
+    """Whether a_n, b_n and the sketches a_<word>, b_<word> leave room for a similarity of 0.8."""
+    differ = sum((F.bit_count(F.col(f"a_{p}").bitwiseXOR(F.col(f"b_{p}"))) for p in sketch), F.lit(0))
+    return (5 * F.least("a_n", "b_n") >= 4 * F.greatest("a_n", "b_n")) & (9 * differ <= F.col("a_n") + F.col("b_n"))
+
+
 def verified(pairs: DataFrame, texts: DataFrame, named: DataFrame) -> DataFrame:
     """Of pairs (a, b) those whose texts are similar. ``texts``: same, n and the row (doc_id, mark) to read it from.
 
     A text's set goes to the groups that need it. A group is one ``a`` with some of its ``b``, GROUP_SHINGLES or one text: an
     ``a`` with many partners is dealt over several groups. A group's rows pass by one at a time, the ``a`` first."""
-    pairs = written(pairs.select("a", "b").distinct(), "pairs")
+    side = lambda x: texts.select(F.col("same").alias(x), F.col("n").alias(f"{x}_n"), *(F.col(p).alias(f"{x}_{p}") for p in PARITY))
+    pairs = written(pairs.select("a", "b").distinct().join(side("a"), "a").join(side("b"), "b").where(_may_be_similar(PARITY)).select("a", "b"), "pairs")
     sized = pairs.join(texts.select(F.col("same").alias("b"), "n"), "b").groupBy("a").agg(F.ceil(F.sum("n") / GROUP_SHINGLES).cast("int").alias("groups"), F.count("*").alias("m"))
     sized = written(sized.withColumn("groups", F.greatest(F.col("groups"), F.lit(1))), "groups")
     firsts = sized.select(F.col("a").alias("same"), F.col("a").alias("to"), F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("group"), F.lit(0).alias("turn"))
     others = join_by_size(pairs, sized, "a", "m").select(F.col("b").alias("same"), F.col("a").alias("to"), F.pmod(F.xxhash64("b"), F.col("groups")).cast("int").alias("group"), F.lit(1).alias("turn"))
     sent = firsts.unionByName(others).groupBy("same").agg(F.collect_list(F.struct("to", "group", "turn")).alias("sent"))
-    wanted = sent.join(texts.select("same", F.col("doc_id").alias("row_id"), F.col("mark").alias("row_mark")), "same")
+    wanted = written(sent.join(texts.select("same", F.col("doc_id").alias("row_id"), F.col("mark").alias("row_mark")), "same"), "wanted")
+    marks = wanted.select(F.col("row_mark").alias("mark")).distinct()
+    if wanted.count() <= FEW_TEXTS:  # their digests tell at the scan which texts need not be shuffled
+        named = named.join(F.broadcast(marks), "mark", "left_semi")
     read = named.join(wanted, F.col("doc_id").eqNullSafe(F.col("row_id")) & (F.col("mark") == F.col("row_mark"))).select("same", "text", "sent")
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -251,14 +262,14 @@ def _grouped(named: DataFrame) -> DataFrame:
     roots = written(components(links), "roots")
 
     # Keys that still hold several components: their texts against a few of them.
-    side = lambda x, rows, *more: rows.select("key", F.col("same").alias(x), *(F.col(c).alias(f"{x}_{c}") for c in ("n", "rest", *PARITY)), F.col("same_at").alias(f"{x}_at"), *more)
-    differ = sum((F.bit_count(F.col(f"a_{p}").bitwiseXOR(F.col(f"b_{p}"))) for p in PARITY), F.lit(0))
-    close = enough("a_n", "a_rest", "b_n", "b_rest") & (9 * differ <= F.col("a_n") + F.col("b_n"))
-    left = _mixed(members.select("key", "same", "n", "rest"), roots).join(texts.select("same", *PARITY), "same")
+    side = lambda x, rows, *more: rows.select("key", F.col("same").alias(x), *(F.col(c).alias(f"{x}_{c}") for c in ("n", "rest", *FOLDED)), F.col("same_at").alias(f"{x}_at"), *more)
+    close = enough("a_n", "a_rest", "b_n", "b_rest") & _may_be_similar(FOLDED)
+    folded = [reduce(lambda x, y: x.bitwiseXOR(y), (F.col(p) for p in PARITY[i::4])).alias(q) for i, q in enumerate(FOLDED)]
+    left = _mixed(members.select("key", "same", "n", "rest"), roots).join(texts.select("same", *folded), "same")
     left = written(left, "left")
     order = Window.partitionBy("key").orderBy(F.xxhash64("same"), "same")
     leaders = side("a", left.withColumn("place", F.row_number().over(order)).where(F.col("place") <= LEADERS))
-    listed = leaders.groupBy("key").agg(F.collect_list(F.struct("a", "a_n", "a_rest", "a_at", *(f"a_{p}" for p in PARITY))).alias("leaders"))
+    listed = leaders.groupBy("key").agg(F.collect_list(F.struct("a", "a_n", "a_rest", "a_at", *(f"a_{p}" for p in FOLDED))).alias("leaders"))
     counted = written(listed.join(left.groupBy("key").agg(F.count("*").alias("m")), "key"), "leaders")
     met = join_by_size(side("b", left), counted, "key", "m").select("*", F.explode("leaders").alias("leader")).select("*", "leader.*")
     links = written(links.unionByName(verified(met.where((F.col("a_at") != F.col("b_at")) & close).select("a", "b"), texts, named)), "links")
