@@ -15,7 +15,9 @@ Every 50-byte window of every document is judged, but only those that can repeat
 
 The hashes only choose candidates: windows are compared byte by byte in step 4, so a clash costs time and not a result. All
 steps are one plan; blocks are shuffled once and that exchange is used three times. A null text is empty. Rows without an
-id count as larger than any; rows that repeat an id don't remove each other's bytes. Extra columns are not read.
+id count as larger than any; rows that repeat an id don't remove each other's bytes. Extra columns are not read. An empty table
+gives no rows. A message goes from a block to each shard that it has an anchor for, so there are at most as many messages as
+anchors (a seventeenth of the bytes), and before that as many as blocks times shards.
 """
 
 from __future__ import annotations
@@ -141,7 +143,9 @@ def ragged(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 def pieces(sorted_shards: np.ndarray) -> list[tuple[int, int, int]]:
     """(shard, first, past the last) of a sorted array of shards."""
-    cut = np.flatnonzero(np.concatenate([[True], sorted_shards[1:] != sorted_shards[:-1]])) if len(sorted_shards) else np.empty(0, np.int64)
+    if not len(sorted_shards):
+        return []
+    cut = np.flatnonzero(np.concatenate([[True], sorted_shards[1:] != sorted_shards[:-1]]))
     return [(int(sorted_shards[a]), int(a), int(b)) for a, b in zip(cut, np.append(cut[1:], len(sorted_shards)), strict=True)]
 
 
