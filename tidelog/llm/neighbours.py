@@ -15,6 +15,9 @@ brute force over all entries, and each query then probes so many of its nearest
 them (``PROBES`` lists at least, and further ones until they hold ``LEAST_FOUND`` entries). Where vectors have little
 structure that is most of the lists, and the work a query grows with the table.
 
+Rows that repeat an id and a vector count once. Where an id has several vectors, a query is as near to another id as their
+nearest two, and with very many vectors to an id fewer than TOP ids may be found. An empty table gives no rows.
+
 Vectors that are null, zero, hold null or non-finite components, or have another length than most, and rows without an id,
 take no part.
 """
@@ -48,7 +51,7 @@ def usable(vectors: DataFrame, vector: str, key: str) -> DataFrame:
 def entries(rows: DataFrame) -> DataFrame:
     """v, ids (ascending, TOP + 1 at most): one row for equal vectors."""
     rank = Window.partitionBy("v").orderBy("id")
-    least = rows.withColumn("n", F.row_number().over(rank)).where(F.col("n") <= TOP + 1)
+    least = rows.groupBy("v", "id").agg(F.lit(0)).select("v", "id").withColumn("n", F.row_number().over(rank)).where(F.col("n") <= TOP + 1)
     return least.groupBy("v").agg(F.sort_array(F.collect_list("id")).alias("ids"))
 
 
@@ -182,7 +185,7 @@ def search(vectors: DataFrame, query_rows, vector: str = "embedding", key: str =
     index = written(table.mapInArrow(file, "list int, v array<double>, ids array<long>"), "lists")
     sizes = {r["list"]: r["count"] for r in index.groupBy("list").count().collect()}
     group, parts = grouped(sizes)
-    asking = rows.where(query_rows).select("id", "v")
+    asking = rows.where(query_rows).select("id", "v").distinct()
     some = asking.withColumn("h", F.xxhash64("id", "v")).orderBy("h").limit(CALIBRATING).collect()
     probed = max(PROBES, probes_needed(index, some, space, sizes, top))
     counted = spark.sparkContext.broadcast((sizes, group, parts))
@@ -227,9 +230,15 @@ def search(vectors: DataFrame, query_rows, vector: str = "embedding", key: str =
                 some = np.concatenate([rows_of[at] for at in lists[i] if at in rows_of])  # the nearest list first: its bound is the best
                 near = some[adaptive_scan(points[some], turned[i], top + 1)]
                 scores = (v[near] * q[i]).sum(1)
-                best = np.argsort(-scores, kind="stable")[: top + 1 + int((scores == np.sort(scores)[::-1][min(top, len(scores) - 1)]).sum())]
-                found = [(-scores[b], vec) for b in best for vec in ids[near[b]] if vec != query]
-                found = sorted(found)[:top]
+                reached: dict[int, float] = {}
+                for b in np.argsort(-scores, kind="stable").tolist():
+                    if len(reached) >= top and scores[b] < last:
+                        break
+                    for vec in ids[near[b]]:
+                        if vec != query:
+                            reached.setdefault(vec, scores[b])
+                    last = scores[b]  # the least score that is needed: ties with it are all looked at
+                found = sorted((-score, vec) for vec, score in reached.items())[:top]
                 out.append((np.full(len(found), query, np.int64), np.asarray([f[1] for f in found], np.int64), np.asarray([-f[0] for f in found])))
         columns = [np.concatenate(c) for c in zip(*out, strict=True)] or [np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)]
         return pa.table({"query_id": columns[0], "vec_id": columns[1], "score": columns[2]})
@@ -238,4 +247,5 @@ def search(vectors: DataFrame, query_rows, vector: str = "embedding", key: str =
     dealt = index.join(F.broadcast(places), "list").select("group", F.pmod(F.xxhash64("v"), F.col("parts")).cast("int").alias("part"), "list", "v", "ids")
     found = dealt.groupBy("group", "part").cogroup(probes.groupBy("group", "part")).applyInArrow(scan, "query_id long, vec_id long, score double")
     rank = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     return found.withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= top).select("query_id", "rank", "vec_id", "score")
