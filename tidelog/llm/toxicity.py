@@ -11,7 +11,9 @@ It is fitted on a bounded sample of labelled documents, ``SAMPLE`` of each combi
 smallest hash of the id), weighted back to the combinations' true sizes. Fitting is one executor task over that sample; the
 model that comes back has a few thousand numbers. Null texts are empty. Labels that are null are left out of their category;
 a category without both labels in the sample has its share as probability everywhere; without labels at all it is 0. Of rows
-that repeat a label's id the smallest labels count.
+that repeat a label's id the smallest labels count; of documents that repeat an id the smallest text is trained on, and all are
+judged. Ids may be of any type; documents and labels without an id are judged, not trained on. Extra columns aren't read, and
+kept by ``drop_toxic``. Empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -21,6 +23,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from math import log2
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -231,7 +234,7 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "do
             labelled = rows[i][1:-1]
             room[labelled] = room.get(labelled, 0) + 1
             rows[i] = rows[i][:-1] if room[labelled] <= SAMPLE else None
-        ordered = [rows[i] for i in sorted(rows, key=lambda i: (i * 2654435761 % (1 << 32), i)) if rows[i]]
+        ordered = [rows[i] for i in sorted(rows, key=lambda i: ((i if isinstance(i, int) else crc32(str(i).encode())) * 2654435761 % (1 << 32), i)) if rows[i]]
         taken: dict[tuple, int] = {}
         for r in ordered:
             taken[r[1:]] = taken.get(r[1:], 0) + 1
