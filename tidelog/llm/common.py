@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import sys
 import tempfile
 import types
@@ -68,6 +69,9 @@ def passing(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFram
         _PASSING.remove(mine)
         for path in mine:
             drop_path(spark, path)
+        # Spark frees shuffle files, broadcasts and plans of frames that nobody holds once the driver's collectors have run.
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
 
 
 def fresh(df: DataFrame, name: str) -> str:

@@ -12,8 +12,8 @@ Such texts differ in about ten of a 64-bit SimHash's bits, which no key over fin
 
 Between the texts of a key a sketch decides first: 1,024 bits (folded to 256 where rows are many), each the parity of how many of a text's shingles
 fall into one of as many classes. Where two sketches differ a shingle is in one set only, so of similar sets they differ in a ninth of both sizes'
-sum at most: this bound loses no pair either. A pair is verified by its whole sets (64-bit hashes of the shingles). Pairs are not made of texts that are in one component
-already. What many unlike texts share, such as a long passage, comes late in the order and makes no pairs; rarity is counted
+sum at most: this bound loses no pair either. A pair is verified by its whole sets (64-bit hashes of the shingles). In the later passes pairs are not made of texts that are
+in one component already. What many unlike texts share, such as a long passage, comes late in the order and makes no pairs; rarity is counted
 over all texts by ``2 ** RARITY_BITS`` ranges of the hash, a table of fixed size, and is a matter of speed only. Texts of one
 key that are all unlike each other, though each shares most of its shingles with each, are the one case in which the pairs of
 a key are all compared.
@@ -249,7 +249,6 @@ def _grouped(named: DataFrame) -> DataFrame:
     bits = near.join(side("a"), "a").join(side("b"), "b").select(F.col("a_first").alias("a"), F.col("b_first").alias("b"))
     equal = join_by_size(texts.where("n > 0").select("same", "fp"), by_print, "fp", "m").where("same <> first").select(F.col("first").alias("a"), F.col("same").alias("b"))
     links = verified(bits.unionByName(equal), texts, named)
-    roots = written(components(links), "roots")
 
     # Prefixes: each key's texts against its first one. One shuffle; a key's rows are held on disk where they are many.
     of_key = Window.partitionBy("key")
@@ -257,7 +256,7 @@ def _grouped(named: DataFrame) -> DataFrame:
     members = written(filed.where("lead.same <> last").select("key", "same", "n", "rest", F.col("lead.same").alias("lead"), F.col("lead.n").alias("lead_n"), F.col("lead.rest").alias("lead_rest")).distinct(), "members")
     enough = lambda n, rest, m, other: 9 * F.least(rest, other) >= 4 * (F.col(n) + F.col(m))
     apart = members.where("same <> lead").where(enough("n", "rest", "lead_n", "lead_rest")).select(F.col("lead").alias("a"), F.col("same").alias("b")).distinct()
-    apart = _rooted(_rooted(apart, roots, "a"), roots, "b").where("a_at <> b_at")
+    apart = apart.join(links, ["a", "b"], "left_anti")
     links = written(links.unionByName(verified(apart, texts, named)), "links")
     roots = written(components(links), "roots")
 
