@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import sys
 import tempfile
@@ -100,9 +101,13 @@ def drop_path(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def _state() -> dict[str, Any]:
+    return sys.modules.setdefault("tidelog_worker_state", types.ModuleType("tidelog_worker_state")).__dict__.setdefault("held", {})
+
+
 def held(name: str, make: Callable[[], Any]) -> Any:
     """``make()``'s result, made once a Python process and kept for its later tasks: functions travel by value, so a global of theirs lives for one task only. Only the last few names are kept."""
-    state = sys.modules.setdefault("tidelog_worker_state", types.ModuleType("tidelog_worker_state")).__dict__.setdefault("held", {})
+    state = _state()
     if name not in state:
         while len(state) >= 4:
             state.pop(next(iter(state)))
@@ -110,6 +115,28 @@ def held(name: str, make: Callable[[], Any]) -> Any:
     return state[name]
 
 
+def give_back() -> None:
+    """Memory that a Python process has freed goes back to the system: Arrow's pool and the C library keep it otherwise."""
+    import pyarrow as pa  # the native operators load none
+
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc's
+    if trim:
+        trim(0)
+
+
+def lean(run: Callable[[Iterator[Any]], Iterator[Any]]) -> Callable[[Iterator[Any]], Iterator[Any]]:
+    """``run`` for mapInArrow in a stage that holds nothing. A worker outlives its tasks, and its memory is the executor's,
+    also while stages without Python run: what earlier stages ``held`` goes first, what the task has freed at its end."""
+
+    def task(batches: Iterator[Any]) -> Iterator[Any]:
+        _state().clear()
+        yield from run(batches)
+        give_back()
+
+    return task
+
+
 def text_bytes(column) -> F.Column:
     """The text's UTF-8 bytes; null counts as empty."""
     return F.encode(F.coalesce(column, F.lit("")), "UTF-8")

@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import fresh, join_by_size, passing, text_bytes, written
+from .common import fresh, join_by_size, lean, passing, text_bytes, written
 from .simhash import components, link_table, majority
 
 WIDTH, SEED = 5, 7
@@ -115,7 +115,7 @@ def sketches(named: DataFrame) -> DataFrame:
         blobs = [total[i * slice_size : (i + 1) * slice_size].astype("<u4").tobytes() for i in filled]
         yield pa.RecordBatch.from_arrays([*columns, pa.array(filled, pa.int32()), pa.array(blobs, pa.binary())], kind.names)
 
-    return named.mapInArrow(run, f"doc_id {named.schema['doc_id'].dataType.simpleString()}, mark string, same binary, fp long, n int, {', '.join(f'{p} long' for p in PARITY)}, slice int, counts binary")
+    return named.mapInArrow(lean(run), f"doc_id {named.schema['doc_id'].dataType.simpleString()}, mark string, same binary, fp long, n int, {', '.join(f'{p} long' for p in PARITY)}, slice int, counts binary")
 
 
 def rarity(made: DataFrame) -> np.ndarray:
@@ -164,7 +164,7 @@ def prefixes(named: DataFrame, counts: np.ndarray) -> DataFrame:
                 flat = np.concatenate([*keys, np.empty(0, np.uint64)]).view(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(flat), pa.array(same, pa.binary()).take(pa.array(rows)), pa.array(sizes[rows], pa.int32()), pa.array(rest, pa.int32())], ["key", "same", "n", "rest"])
 
-    return named.select("text").mapInArrow(run, "key long, same binary, n int, rest int")
+    return named.select("text").mapInArrow(lean(run), "key long, same binary, n int, rest int")
 
 
 def _may_be_similar(sketch: tuple[str, ...]) -> Column:
@@ -217,9 +217,9 @@ def verified(pairs: DataFrame, texts: DataFrame, named: DataFrame) -> DataFrame:
                     b.append(same.as_py())
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
 
-    sets = read.mapInArrow(hashed, "to binary, group int, turn int, same binary, hashes binary")
+    sets = read.mapInArrow(lean(hashed), "to binary, group int, turn int, same binary, hashes binary")
     ordered = sets.repartition("to", "group").sortWithinPartitions("to", "group", "turn", "same")
-    return written(ordered.mapInArrow(compared, "a binary, b binary"), "similar")
+    return written(ordered.mapInArrow(lean(compared), "a binary, b binary"), "similar")
 
 
 def _rooted(rows: DataFrame, roots: DataFrame, column: str) -> DataFrame:

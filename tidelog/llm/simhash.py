@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop_path, join_by_size, text_bytes, written, written_at
+from .common import drop_path, join_by_size, lean, text_bytes, written, written_at
 
 BITS, LINK, SHINGLE, SEED = 64, 2, 3, 42
 SMALL_KEY = 8
@@ -76,7 +76,7 @@ def fingerprint_table(docs: DataFrame, text: str = "text", key: str = "doc_id")
                 part = batch.slice(at, 256)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(fingerprints(part.column(1).to_pylist()).view(np.int64))], ["doc_id", "fp"])
 
-    return docs.select(F.col(key).alias("doc_id"), text_bytes(F.col(text)).alias("text")).mapInArrow(run, f"doc_id {docs.schema[key].dataType.simpleString()}, fp long")
+    return docs.select(F.col(key).alias("doc_id"), text_bytes(F.col(text)).alias("text")).mapInArrow(lean(run), f"doc_id {docs.schema[key].dataType.simpleString()}, fp long")
 
 
 def pivot_keys(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -165,8 +165,8 @@ def link_table(distinct: DataFrame) -> DataFrame:
         if held:
             yield told(*(np.concatenate(x) for x in zip(*held, strict=True)))
 
-    filed = distinct.select("fp").mapInArrow(file, "key long, fp long")
-    return filed.repartition("key").sortWithinPartitions("key").mapInArrow(search, "a long, b long").distinct()
+    filed = distinct.select("fp").mapInArrow(lean(file), "key long, fp long")
+    return filed.repartition("key").sortWithinPartitions("key").mapInArrow(lean(search), "a long, b long").distinct()
 
 
 def components(links: DataFrame) -> DataFrame:

@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import held, scratch
+from .common import give_back, held, lean, scratch
 
 END_ID = 2
 CACHE_PIECES, KEPT_PIECES, SLICE_BYTES = 120_000, 30_000, 4 << 20
@@ -66,7 +66,7 @@ class WordEncoder:
     def trim(self) -> None:
         """At a task's end: what was met first, and so mostly often, stays for the next one."""
         self.new, self.old = dict(islice(self.new.items(), KEPT_PIECES)), {}
-        pa.default_memory_pool().release_unused()
+        give_back()
 
     def _raw(self, text: str) -> bytes:
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
@@ -136,7 +136,7 @@ class WordEncoder:
             raw, cuts = ids.tobytes(), (cuts * ids.itemsize).tolist()
             out += [self._odd_text(some[i].as_py()) if o else raw[cuts[i] : cuts[i + 1]] for i, o in enumerate(odd.to_pylist())]
             at = to
-        pa.default_memory_pool().release_unused()
+        give_back()
         return out
 
 
@@ -201,7 +201,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, text: str = "t
     encoded = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")).mapInArrow(encode, "doc_id long, shard int, tie long, ids binary")
     placed = encoded.repartitionById(files, F.col("shard")).sortWithinPartitions("shard", F.col("doc_id").asc_nulls_first(), "tie").select("doc_id", "shard", "ids")
     (
-        placed.mapInArrow(place, "doc_id long, shard int, local_start long, n_tokens long, tokens array<int>")
+        placed.mapInArrow(lean(place), "doc_id long, shard int, local_start long, n_tokens long, tokens array<int>")
         .write.option("orc.bloom.filter.columns", "doc_id").option("orc.create.index", "true").option("orc.row.index.stride", "1000").option("orc.compress", "SNAPPY").option("orc.stripe.size", str(stripe_bytes))
         .orc(path)
     )
@@ -227,7 +227,7 @@ def token_index(spark: SparkSession, path: str) -> DataFrame:
     sizes = read_tokens(spark, path).groupBy("shard").agg(F.sum("n_tokens").alias("size"))
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     bases = sizes.select("shard", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("base"))
-    rows = read_tokens(spark, path).mapInArrow(crc, "doc_id long, shard int, local_start long, n_tokens long, ids_crc32 long")
+    rows = read_tokens(spark, path).mapInArrow(lean(crc), "doc_id long, shard int, local_start long, n_tokens long, ids_crc32 long")
     return rows.join(F.broadcast(bases), "shard").select("doc_id", (F.col("base") + F.col("local_start")).alias("start"), "n_tokens", "ids_crc32")
 
 

@@ -30,6 +30,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import lean
+
 CHAIN = (("low_quality", "quality", 0), ("toxic", "toxic", 1))  # category, label column, the value that counts
 SAMPLE, FOLDS, WORDS, LEAST_DOCS, RIDGE, STEPS = 1_500, 5, 1_000, 3, 1.0, 8
 MARGIN = 1.25
@@ -244,7 +246,7 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "do
         yield pa.RecordBatch.from_arrays([pa.array([Chain.fit([r[0] for r in ordered], y, weight).to_json()])], ["model"])
 
     # Repartitioned, not coalesced: only the sample goes to one task, the documents are read by many.
-    found = sample.repartition(1).mapInArrow(fit, "model string").first()
+    found = sample.repartition(1).mapInArrow(lean(fit), "model string").first()
     return Chain.of_json(found[0]) if found else Chain.fit([], {name: np.empty(0) for name, _, _ in CHAIN}, np.empty(0))
 
 
@@ -261,7 +263,7 @@ def predict(docs: DataFrame, chain: Chain, text: str = "text", key: str = "doc_i
                 yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(c) for c in p.T), pa.array(p[:, -1] >= mine.threshold)], ["doc_id", *names, "toxic"])
 
     fields = ", ".join(f"{n} double" for n in names)
-    return docs.select(F.col(key).alias("doc_id"), text).mapInArrow(run, f"doc_id {docs.schema[key].dataType.simpleString()}, {fields}, toxic boolean")
+    return docs.select(F.col(key).alias("doc_id"), text).mapInArrow(lean(run), f"doc_id {docs.schema[key].dataType.simpleString()}, {fields}, toxic boolean")
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -276,4 +278,4 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, text: str = "text", key: str
                 part = batch.slice(at, 512)
                 yield part.filter(pa.array(mine.predict(part.column(place).to_pylist())[:, -1] < mine.threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)
