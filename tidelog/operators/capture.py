@@ -36,22 +36,25 @@ def upserts(target: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
     return _compared(target.join(rows.select(*keys), keys, "left_semi").select(*target.columns), rows, keys, F.lit(True))
 
 
-def diff(before: DataFrame, after: DataFrame, keys: list[str]) -> DataFrame:
-    """The changes that turn one table into the other, by key."""
-    return _compared(before, after, keys, None)
+def diff(before: DataFrame, after: DataFrame, keys: list[str], changed: Column | None = None) -> DataFrame:
+    """The changes that turn one table into the other, by key. ``changed`` tells when a row that both have is an update, by
+    its columns as ``o.`` (before) and ``n.`` (after); without it any column that differs makes one, null being a value.
+    Of a key with several rows each old one meets each new one."""
+    return _compared(before, after, keys, changed)
 
 
-def _compared(before: DataFrame, after: DataFrame, keys: list[str], always: Column | None) -> DataFrame:
+def _compared(before: DataFrame, after: DataFrame, keys: list[str], changed: Column | None) -> DataFrame:
     columns, rest = after.columns, [c for c in after.columns if c not in keys]
     old = before.select(*columns, F.lit(True).alias("_in")).alias("o")
     new = after.select(*columns, F.lit(True).alias("_in")).alias("n")
     joined = old.join(new, reduce(lambda a, b: a & b, (F.col(f"o.{k}").eqNullSafe(F.col(f"n.{k}")) for k in keys)), "full_outer")
     image = lambda side, k: F.struct(kind(k).alias(KIND), *(F.col(f"{side}.{c}").alias(c) for c in columns))
-    equal = reduce(lambda a, b: a & b, (F.col(f"o.{c}").eqNullSafe(F.col(f"n.{c}")) for c in rest), F.lit(True)) if always is None else ~always
+    if changed is None:
+        changed = ~reduce(lambda a, b: a & b, (F.col(f"o.{c}").eqNullSafe(F.col(f"n.{c}")) for c in rest), F.lit(True))
     events = (
         F.when(F.col("o._in").isNull(), F.array(image("n", INSERT)))
         .when(F.col("n._in").isNull(), F.array(image("o", DELETE)))
-        .when(~equal, F.array(image("o", UPDATE_BEFORE), image("n", UPDATE_AFTER)))
+        .when(changed, F.array(image("o", UPDATE_BEFORE), image("n", UPDATE_AFTER)))
     )
     return joined.select(F.posexplode(events).alias("_image", "_row")).select("_row.*", "_image").select(*columns, KIND, "_image")
 
